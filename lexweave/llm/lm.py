@@ -1,0 +1,154 @@
+"""Language-model scores by cross-entropy difference.
+
+Two interpolated character trigram models share one vocabulary, order and smoothing: the
+target model counts the documents that the labels call good, the background model
+counts all. A document's score is its loss per token under the target model less that
+under the background model, in bits; the lower, the more it is like the target.
+
+The tokens are lower-case characters. The vocabulary holds the ``VOCABULARY`` - 2 most
+frequent ones of the corpus, one entry for all others and one for the edges of a text.
+All counts cover every row. Tasks count whole partitions in fixed arrays and hand on the
+trigrams they saw, so what is gathered grows with the input, while the model stays within
+VOCABULARY ** 3 entries, which is also the bound of what the driver collects and sends.
+
+Edge cases: a null or empty text has one token, the closing edge. A document with several
+labels is good if none says otherwise; rows that repeat an id count each. Without good
+rows the target model knows nothing and is uniform. An empty table gives no rows.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from lexweave.llm.common import batch_of
+
+VOCABULARY = 128
+OTHER, EDGE = 0, 1
+_CHUNK = 1 << 20
+
+
+def _codes(text: str | None) -> np.ndarray:
+    return np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> np.ndarray:
+    """The most frequent code points of all texts, in order of their numbers."""
+    schema = pa.schema([("code", pa.int32()), ("n", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(0x110000, np.int64)
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                if len(code := _codes(text)):
+                    seen = np.bincount(code)
+                    total[: len(seen)] += seen
+        code = np.flatnonzero(total)
+        yield batch_of(schema, code, total[code])
+
+    rows = docs.select("text").mapInArrow(run, "code int, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    top = rows.orderBy(F.desc("n"), "code").limit(size - 2).collect()
+    return np.array(sorted(r["code"] for r in top), np.uint32)
+
+
+@dataclass(frozen=True)
+class Alphabet:
+    codes: np.ndarray
+    size: int
+
+    def table(self) -> np.ndarray:
+        out = np.full(0x110000, OTHER, np.int64)
+        out[self.codes] = np.arange(len(self.codes)) + 2
+        return out
+
+
+def trigrams(text: str | None, table: np.ndarray, size: int) -> np.ndarray:
+    """The number of every token's trigram; the text stands between edges."""
+    ids = np.concatenate([[EDGE, EDGE], table[_codes(text)], [EDGE]])
+    return (ids[:-2] * size + ids[1:-1]) * size + ids[2:]
+
+
+_COUNTS = pa.schema([("gram", pa.int32()), ("background", pa.int64()), ("target", pa.int64())])
+
+
+def gather(docs: DataFrame, alphabet: Alphabet) -> DataFrame:
+    """(gram, background, target): the trigrams of all rows and of those whose column good is true."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, n = alphabet.table(), alphabet.size**3
+        rest, target = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        for batch in batches:
+            for text, good in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                grams = trigrams(text, table, alphabet.size)
+                own = target if good else rest
+                if len(grams) > n:
+                    own += np.bincount(grams, minlength=n)
+                else:
+                    seen, count = np.unique(grams, return_counts=True)
+                    own[seen] += count
+        gram = np.flatnonzero(rest + target)
+        if len(gram):
+            yield batch_of(_COUNTS, gram, (rest + target)[gram], target[gram])
+
+    rows = docs.select("text", "good").mapInArrow(run, "gram int, background long, target long")
+    return rows.groupBy("gram").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
+
+
+def losses(counts: np.ndarray, size: int) -> np.ndarray:
+    """Bits of the last token of every trigram: Witten-Bell interpolation down to a uniform choice."""
+    three = counts.reshape(size, size, size).astype(float)
+    lower = np.full(size, 1.0 / size)
+    for seen in (three.sum((0, 1)), three.sum(0), three):
+        total, kinds = seen.sum(-1, keepdims=True), (seen > 0).sum(-1, keepdims=True)
+        lower = np.where(total > 0, (seen + kinds * lower) / np.maximum(total + kinds, 1), lower)
+    return -np.log2(lower).reshape(-1).astype(np.float32)
+
+
+@dataclass(frozen=True)
+class Models:
+    alphabet: Alphabet
+    target: np.ndarray
+    background: np.ndarray
+
+
+def _slim(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = VOCABULARY) -> Models:
+    """Both models from all rows; good rows are those that labels give quality 1 alone."""
+    texts = _slim(docs, id_col, text_col)
+    good = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(F.coalesce(F.col("quality"), F.lit(0))).alias("quality")).where("quality > 0")
+    alphabet = Alphabet(vocabulary(texts, size), size)
+    flagged = texts.join(good.hint("shuffle_hash"), "doc_id", "left").select("text", F.col("quality").isNotNull().alias("good"))
+    found = gather(flagged, alphabet).toArrow()
+    counts = np.zeros((2, size**3), np.int64)
+    counts[0, found["gram"]], counts[1, found["gram"]] = found["target"], found["background"]
+    return Models(alphabet, losses(counts[0], size), losses(counts[1], size))
+
+
+_OUT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("target_bits", pa.float64()), ("background_bits", pa.float64()), ("score", pa.float64())])
+
+
+def score(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_tokens, the loss per token under both models, and their difference, of every row."""
+    held = docs.sparkSession.sparkContext.broadcast(models)  # two tables of VOCABULARY ** 3 floats
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = held.value
+        table = m.alphabet.table()
+        for batch in batches:
+            n, target, background = [], [], []
+            for text in batch.column(1).to_pylist():
+                grams = trigrams(text, table, m.alphabet.size)
+                n.append(len(grams))
+                target.append(float(m.target[grams].sum(dtype=np.float64)) / len(grams))
+                background.append(float(m.background[grams].sum(dtype=np.float64)) / len(grams))
+            yield batch_of(_OUT, batch.column(0).to_pylist(), n, target, background, [t - b for t, b in zip(target, background, strict=True)])
+
+    return _slim(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, target_bits double, background_bits double, score double")
