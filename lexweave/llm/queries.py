@@ -79,8 +79,9 @@ WITH p AS (
 ), h AS (
   SELECT page_id, top, octet_length(encode(html)) AS n, sha1(html) AS hex FROM p
 ), d AS (
-  SELECT page_id, top, n, hex, list_aggregate(list_transform(range(32), i ->
-    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((('0x' || substr(hex, 1 + 5 * CAST(i // 4 AS INTEGER), 5))::BIGINT >> (5 * (3 - CAST(i % 4 AS INTEGER)))) & 31 AS INTEGER), 1)), 'string_agg', '') AS b32 FROM h
+  SELECT page_id, top, n, list_aggregate([
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(hex, 1 + 5 * (i // 4), 5))::BIGINT >> (5 * (3 - i % 4))) & 31), 1)
+    FOR i IN range(0, 32)], 'string_agg', '') AS b32 FROM h
 )
 SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, b32 AS payload_digest,
   CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
