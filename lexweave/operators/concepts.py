@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import tempfile
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -72,14 +74,18 @@ def similar_pairs(concepts: DataFrame, vectors: DataFrame | None = None, thresho
     return pairs.unionByName(close).distinct()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder: the one the cluster names, a temporary one only where none is set."""
+    sc = spark.sparkContext
+    named = sc.getConf().get("spark.checkpoint.dir", None)
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="lexweave-"))
+    return named or sc._jsc.sc().getCheckpointDir().get()
+
+
 def components(pairs: DataFrame) -> DataFrame:
     """(id, root) of all ids of the pairs: least label first, then roots of roots, until nothing changes."""
-    spark = pairs.sparkSession
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        import tempfile
-
-        named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="lexweave-"))
+    shared_folder(pairs.sparkSession)
     edges = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
     labels = edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select("id", F.least("id", "m").alias("root")).checkpoint()
     while True:

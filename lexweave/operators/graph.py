@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lexweave.functions import ids
+from lexweave.operators.concepts import shared_folder
 from lexweave.operators.tree import part_of
 
 # Thresholds of salience, associations and furniture.
@@ -267,10 +268,7 @@ def impact(edges: DataFrame, start: str, most: int = 50) -> DataFrame:
     """(id, hops): all that depends on a node, by hops against the direction of references; rounds are written out."""
     back = edges.where(F.col("type").isin("RESOLVES_TO", "CONTAINS")).select("src", "dst")
     spark = edges.sparkSession
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lexweave-"))
+    shared_folder(spark)
     seen = spark.createDataFrame([(start, 0)], "id string, hops int")
     front = seen
     for hop in range(1, most + 1):

@@ -67,7 +67,7 @@ def define(g: Graph, term: str) -> DataFrame:
     """Sites of a term by exact name, else by alias, else without regard to case, with the parts they govern."""
     rank = F.when(F.col("term") == term, 0).when(F.array_contains("aliases", term), 1).when(F.lower("term") == term.lower(), 2)
     hits = g.sites.withColumn("rank", rank).where("rank is not null")
-    best = hits.where(F.col("rank") == F.min("rank").over(Window.partitionBy(F.lit(0))))  # the sites of one term
+    best = hits.join(F.broadcast(hits.agg(F.min("rank").alias("rank"))), "rank")  # one row
     parts = g.nodes.where("kind = 'part'").select(F.col("path"))
     ruled = governing_scopes(best.select("term").distinct().crossJoin(parts).select("term", "path"), best).groupBy("term", "scope").agg(F.array_sort(F.collect_list("path")).alias("governs"))
     held = g.nodes.select(F.col("id").alias("definition_node_id"), "path", "text")

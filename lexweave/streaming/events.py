@@ -10,7 +10,8 @@ LATE, GAP = "1 hour", "30 minutes"
 
 def read_events(spark: SparkSession, folder: str, pattern: str = "events.parquet") -> DataFrame:
     schema = spark.read.parquet(f"{folder}/{pattern}").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
+    rows = spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
+    return rows.withColumn("ts", F.col("ts").cast("timestamp"))  # watermarks take no other type
 
 
 def tumbling(events: DataFrame, width: str = "1 hour", late: str = LATE) -> DataFrame:
