@@ -1,0 +1,81 @@
+"""Models against counting by hand, and scores of planted domains."""
+
+import math
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from lexweave.llm import lm
+
+
+def brute(texts, size, codes):
+    ids = {c: i + 2 for i, c in enumerate(codes)}
+    seqs = [[lm.EDGE, lm.EDGE, *(ids.get(c, lm.OTHER) for c in t.lower()), lm.EDGE] for t in texts]
+    three = Counter(tuple(s[i : i + 3]) for s in seqs for i in range(len(s) - 2))
+
+    def p(gram):
+        """Interpolated with what shorter histories say."""
+        if not gram:
+            return 1 / size
+        seen = Counter()
+        for g, n in three.items():
+            if g[3 - len(gram) : 2] == gram[:-1]:
+                seen[g[2]] += n
+        total, kinds = sum(seen.values()), len(seen)
+        return (seen[gram[-1]] + kinds * p(gram[1:])) / (total + kinds) if total else p(gram[1:])
+
+    return three, p
+
+
+def test_losses():
+    texts, codes, size = ["abca", "ab", "", "cab!"], "abc", 6
+    three, p = brute(texts, size, codes)
+    counts = np.zeros(size**3, np.int64)
+    for (a, b, c), n in three.items():
+        counts[(a * size + b) * size + c] = n
+    got = lm.losses(counts, size)
+    for gram in [(1, 1, 2), (2, 3, 4), (0, 0, 0), (4, 2, 3), (3, 1, 5)]:
+        assert got[(gram[0] * size + gram[1]) * size + gram[2]] == pytest.approx(-math.log2(p(gram)), rel=1e-5)
+    assert np.exp2(-got.reshape(size, size, size).astype(float)).sum(-1) == pytest.approx(1.0, rel=1e-5)
+
+
+def test_nothing_counted_is_uniform():
+    assert lm.losses(np.zeros(64, np.int64), 4) == pytest.approx(2.0)
+
+
+def corpus(spark):
+    good = [(i, "the quick brown fox jumps over it", "en") for i in range(30)]
+    bad = [(100 + i, "zx#qw zx#qw || zx#qw", "en") for i in range(30)]
+    docs = spark.createDataFrame(good + bad, "doc_id long, text string, quality string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(20)] + [(100, 0, 0), (25, 1, 0), (25, 0, 0), (None, 1, 0), (26, None, 0)], "doc_id long, quality int, toxic int")
+    return docs, labels
+
+
+def test_counts_cover_all_rows(spark):
+    docs, labels = corpus(spark)
+    alphabet = lm.Alphabet(lm.vocabulary(docs.select("text"), 20), 20)
+    assert len(alphabet.codes) == 18
+    flagged = docs.selectExpr("text", "doc_id < 20 as good")
+    got = lm.gather(flagged, alphabet).collect()
+    n = lambda rows: sum(len(r["text"]) + 1 for r in rows)
+    assert sum(r["background"] for r in got) == n(docs.collect())
+    assert sum(r["target"] for r in got) == n(docs.where("doc_id < 20").collect())
+
+
+def test_scores_part_the_domains(spark):
+    docs, labels = corpus(spark)
+    models = lm.fit(docs, labels)
+    rows = {r["doc_id"]: r for r in lm.score(docs, models).collect()}
+    assert max(rows[i]["score"] for i in range(30)) < 0 < min(rows[i]["score"] for i in range(100, 130))
+    one = rows[5]
+    assert one["score"] == pytest.approx(one["target_bits"] - one["background_bits"]) and one["n_tokens"] == 34
+
+
+def test_odd_tables(spark):
+    docs, labels = corpus(spark)
+    odd = spark.createDataFrame([(None, None), (1, ""), (1, ""), (2, "日本 é" * 1000)], "doc_id long, text string")
+    got = lm.score(odd, lm.fit(odd, labels.limit(0))).collect()
+    assert sorted(r["n_tokens"] for r in got) == [1, 1, 1, 4001]
+    assert all(r["target_bits"] == pytest.approx(7.0) for r in got)
+    assert lm.score(odd.limit(0), lm.fit(odd.limit(0), labels)).count() == 0
