@@ -107,14 +107,16 @@ def title_case_runs(text: Column | str) -> Column:
 
 
 def inflections(surface: Column | str) -> Column:
-    """Plural and singular forms of a surface, itself left out."""
+    """Plural and singular forms of a surface of three letters or more, itself left out."""
     s = _c(surface)
+    n = F.length(s)
     forms = F.array(
-        F.when(s.rlike("[^aeiou]y$"), F.regexp_replace(s, "y$", "ies")),
-        F.when(s.rlike("(?:s|x|z|ch|sh)$"), F.concat(s, F.lit("es"))).when(~s.rlike("[^aeiou]y$"), F.concat(s, F.lit("s"))),
-        F.when(s.rlike("ies$"), F.regexp_replace(s, "ies$", "y")),
-        F.when(s.rlike("(?:s|x|z|ch|sh)es$"), F.regexp_replace(s, "es$", "")),
-        F.when(s.rlike("[^s]s$"), F.regexp_replace(s, "s$", "")),
+        F.when(n >= 3, F.concat(s, F.lit("s"))),
+        F.when(n >= 3, F.concat(s, F.lit("es"))),
+        F.when((n >= 3) & s.rlike("[^aeiouAEIOU]y$"), F.regexp_replace(s, "y$", "ies")),
+        F.when((n > 4) & s.rlike("ies$"), F.regexp_replace(s, "ies$", "y")),
+        F.when((n > 4) & s.rlike("es$"), F.regexp_replace(s, "es$", "")),
+        F.when((n > 3) & s.rlike("[^s]s$"), F.regexp_replace(s, "s$", "")),
     )
     return F.array_distinct(F.filter(forms, lambda f: f.isNotNull() & (f != s)))
 

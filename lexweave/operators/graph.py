@@ -63,7 +63,7 @@ def term_rows(sites: DataFrame) -> DataFrame:
 
 def definition_edges(sites: DataFrame, nodes: DataFrame) -> DataFrame:
     held = nodes.select(F.col("id").alias("definition_node_id"))
-    return sites.join(held, "definition_node_id", "left_semi").select(*edge("DEFINED_IN", "term", "definition_node_id", scope="scope", source="source")).distinct()
+    return sites.join(held, "definition_node_id", "left_semi").dropDuplicates(["term", "definition_node_id"]).select(*edge("DEFINED_IN", "term", "definition_node_id", scope="scope", source="source"))
 
 
 def use_edges(uses: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -75,7 +75,7 @@ def use_edges(uses: DataFrame, nodes: DataFrame) -> DataFrame:
 def defined_using_edges(uses: DataFrame, sites: DataFrame) -> DataFrame:
     """A use inside another term's definition; a node that defines several terms keeps them all."""
     own = sites.select(F.col("definition_node_id").alias("node_id"), F.col("term").alias("defined")).distinct()
-    return uses.select("term", "node_id").distinct().join(own, "node_id").where("term <> defined").select(*edge("DEFINED_USING", "defined", "term")).distinct()
+    return uses.select("term", "node_id").distinct().join(own, "node_id").where("term <> defined").select("defined", "term").distinct().select(*edge("DEFINED_USING", "defined", "term"))
 
 
 def about_edges(concepts: DataFrame, nodes: DataFrame) -> DataFrame:

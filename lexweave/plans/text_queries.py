@@ -114,8 +114,8 @@ def confidence_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 WITH s AS (SELECT DISTINCT string_split(p_name, ' ')[2] AS w FROM part)
-SELECT w, f FROM s, unnest([CASE WHEN regexp_matches(w, '[^aeiou]y$') THEN regexp_replace(w, 'y$', 'ies') WHEN regexp_matches(w, '(s|x|z|ch|sh)$') THEN w || 'es' ELSE w || 's' END,
-  CASE WHEN regexp_matches(w, 'ies$') THEN regexp_replace(w, 'ies$', 'y') END, CASE WHEN regexp_matches(w, '(s|x|z|ch|sh)es$') THEN regexp_replace(w, 'es$', '') END, CASE WHEN regexp_matches(w, '[^s]s$') THEN regexp_replace(w, 's$', '') END]) t(f)
+SELECT w, f FROM s, unnest([CASE WHEN length(w) >= 3 THEN w || 's' END, CASE WHEN length(w) >= 3 THEN w || 'es' END, CASE WHEN length(w) >= 3 AND regexp_matches(w, '[^aeiouAEIOU]y$') THEN regexp_replace(w, 'y$', 'ies') END,
+  CASE WHEN length(w) > 4 AND regexp_matches(w, 'ies$') THEN regexp_replace(w, 'ies$', 'y') END, CASE WHEN length(w) > 4 AND regexp_matches(w, 'es$') THEN regexp_replace(w, 'es$', '') END, CASE WHEN length(w) > 3 AND regexp_matches(w, '[^s]s$') THEN regexp_replace(w, 's$', '') END]) t(f)
 WHERE f IS NOT NULL AND f <> w GROUP BY ALL
 """)
 def inflections(spark: SparkSession, sf_dir: str) -> DataFrame:
