@@ -136,3 +136,21 @@ def test_streams(spark, tmp_path):
     assert got.count() == plain.select("user_id").distinct().count()
     edges = spark.createDataFrame([("a", "b"), ("a", "z")], "src string, dst string")
     assert {r["dst"]: r["writable"] for r in events.deferred_edges(edges, spark.createDataFrame([("a",), ("b",)], "key string")).collect()} == {"b": True, "z": False}
+
+
+def test_providers(spark):
+    from lexweave.sources import providers
+
+    planned = spark.createDataFrame([("n1", "summary", "alpha"), ("n2", "summary", "boom"), ("n3", "leaf", "x")], "node_id string, level string, text string")
+    none = spark.createDataFrame([], providers.REPLIES)
+
+    def service(task, payload):
+        if payload == "boom":
+            raise ValueError("no")
+        return f"{task} of {payload}"
+
+    done, new = providers.summaries(planned, none, service)
+    assert [(r["node_id"], r["reply"]) for r in done.collect()] == [("n1", "summary of alpha")]
+    assert sorted((r["error"] for r in new.collect()), key=str) == [None, "ValueError: no"] or {r["error"] for r in new.collect()} == {None, "ValueError: no"}
+    again, owed = providers.summaries(planned, new, None)
+    assert again.count() == 1 and [r["error"] for r in owed.collect()] == ["pending"]
