@@ -313,14 +313,21 @@ def allocation(population: DataFrame, strata: list[str], size: int) -> DataFrame
 
 
 def stratified_sample(population: DataFrame, strata: list[str], size: int, key: str, seed: str = "") -> DataFrame:
-    """A sample of the given size: in each cell the rows with the least hash of seed, cell and key."""
+    """A sample of the given size: in each cell the rows with the least hash of seed, cell and key.
+
+    A large cell is ranked in shards first, and the best of all shards once more, so that
+    no task orders a whole cell.
+    """
     cells = allocation(population, strata, size)
     names = [F.coalesce(F.col(s).cast("string"), F.lit("")) for s in strata]
     draw = F.sha1(F.concat_ws("|", F.lit(seed), *names, F.col(key).cast("string")))
     ranked = population.withColumn("__draw", draw)
     joined = ranked.join(F.broadcast(cells.select(*strata, "taken")), strata)  # a row a cell
-    n = F.row_number().over(Window.partitionBy(*strata).orderBy("__draw", key))
-    return joined.withColumn("__n", n).where("__n <= taken").drop("__n", "__draw", "taken")
+    order = ["__draw", key]
+    first = joined.withColumn("__shard", F.pmod(F.xxhash64("__draw"), F.lit(256)))
+    first = first.withColumn("__n", F.row_number().over(Window.partitionBy(*strata, "__shard").orderBy(*order))).where("__n <= taken")
+    n = F.row_number().over(Window.partitionBy(*strata).orderBy(*order))
+    return first.withColumn("__n", n).where("__n <= taken").drop("__n", "__shard", "__draw", "taken")
 
 
 def seeded_shuffle_sample(cells: dict[tuple, list[int]], size: int, material: str = "") -> list[int]:
