@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from lexweave.llm.common import batch_of, text_chunks
 
-Q, SEGMENT, BUDGET, LEAST, BLOCK = 10, 80, 0.0625, 40, 8_000_000
+Q, SEGMENT, BUDGET, LEAST, BLOCK = 8, 80, 0.1, 40, 8_000_000
 _OTHER = re.compile(r"[\W_]+")
 _CHUNK = 1 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
