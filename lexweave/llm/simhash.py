@@ -220,6 +220,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = linked.groupBy("root").agg(F.min("least").alias("component"))
     linked = linked.join(named, "root").select(F.col("fp").alias("linked_fp"), "component")
     label = classes.join(linked, F.col("fp") == F.col("linked_fp"), "left").select("fp", F.coalesce("component", "least").alias("component_id"))
+    label = cut(label)  # so that both sides of the last join are plain exchanges, of which skewed parts are split
     return prints.join(label, "fp").select("doc_id", "fp", "component_id")
 
 
