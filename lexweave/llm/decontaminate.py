@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexweave.llm.common import batch_of, text_chunks
+from lexweave.llm.common import batch_of, lean, text_chunks
 
 Q, SEGMENT, BUDGET, LEAST, BLOCK = 8, 80, 0.1, 40, 8_000_000
 _OTHER = re.compile(r"[\W_]+")
@@ -263,7 +263,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 if rows:
                     yield batch_of(_OUT, *zip(*rows, strict=True))
 
-        part = slim.mapInArrow(run, "doc_id long, item_id long, start long, end long, n_segments long, of_segments long, edits long")
+        part = slim.mapInArrow(lean(run), "doc_id long, item_id long, start long, end long, n_segments long, of_segments long, edits long")
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -279,5 +279,5 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text")
                 bad = leaks(batch.column(at_text).to_pylist(), held.value)
                 yield batch.filter(pa.array([t not in bad for t in range(batch.num_rows)], pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(lean(run), docs.schema)
     return docs

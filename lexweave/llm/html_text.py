@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexweave.llm.common import batch_of
+from lexweave.llm.common import batch_of, lean
 
 _TOKEN = re.compile(r"<!--(.*?)(?:-->|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<(?![a-zA-Z/!?]))", re.S)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -267,4 +267,4 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             yield batch_of(_OUT, batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts, map(len, texts))
 
     slim = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
-    return slim.mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return slim.mapInArrow(lean(run), "page_id long, url string, text string, n_chars long")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexweave.llm.common import batch_of
+from lexweave.llm.common import batch_of, lean
 
 SAMPLE, CENTROIDS, FOLDS, BITS, REJECT = 600, 3, 5, 14, 0.001
 UNKNOWN = "und"
@@ -158,4 +158,4 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
             yield batch_of(_OUT, batch.column(0).to_pylist(), batch.column(1).to_pylist(), *(zip(*found, strict=True) if found else ([], [], [])))
 
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).cast("string").alias("text"))
-    return slim.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean")
+    return slim.mapInArrow(lean(run), "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexweave.llm.common import batch_of
+from lexweave.llm.common import batch_of, lean
 
 VOCABULARY = 128
 OTHER, EDGE = 0, 1
@@ -51,7 +51,7 @@ def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> np.ndarray:
         code = np.flatnonzero(total)
         yield batch_of(schema, code, total[code])
 
-    rows = docs.select("text").mapInArrow(run, "code int, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    rows = docs.select("text").mapInArrow(lean(run), "code int, n long").groupBy("code").agg(F.sum("n").alias("n"))
     top = rows.orderBy(F.desc("n"), "code").limit(size - 2).collect()
     return np.array(sorted(r["code"] for r in top), np.uint32)
 
@@ -95,7 +95,7 @@ def gather(docs: DataFrame, alphabet: Alphabet) -> DataFrame:
         if len(gram):
             yield batch_of(_COUNTS, gram, (rest + target)[gram], target[gram])
 
-    rows = docs.select("text", "good").mapInArrow(run, "gram int, background long, target long")
+    rows = docs.select("text", "good").mapInArrow(lean(run), "gram int, background long, target long")
     return rows.groupBy("gram").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
 
 
@@ -151,4 +151,4 @@ def score(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: str
                 background.append(float(m.background[grams].sum(dtype=np.float64)) / len(grams))
             yield batch_of(_OUT, batch.column(0).to_pylist(), n, target, background, [t - b for t, b in zip(target, background, strict=True)])
 
-    return _slim(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, target_bits double, background_bits double, score double")
+    return _slim(docs, id_col, text_col).mapInArrow(lean(run), "doc_id long, n_tokens long, target_bits double, background_bits double, score double")

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexweave.llm.common import batch_of, cut
+from lexweave.llm.common import batch_of, cut, lean
 
 RADIUS, PIVOTS, CELL, SHINGLE, SEED = 3, 16, 1024, 3, 42
 
@@ -68,7 +68,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             prints = np.array([fingerprint(t) for t in batch.column(1).to_pylist()], np.uint64)
             yield batch_of(_PRINTS, batch.column(0).to_pylist(), prints.view(np.int64))
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(lean(run), "doc_id long, fp long")
 
 
 def pivot_table(prints: np.ndarray, pivots: int = PIVOTS) -> np.ndarray:
@@ -184,7 +184,7 @@ def links(distinct: DataFrame) -> DataFrame:
     parted = rows.join(full, ["t", "key"], "left").withColumn("n", F.coalesce("n", F.lit(1)))
     parted = parted.withColumn("block", F.pmod(F.xxhash64("fp", "t"), F.col("n"))).select("t", "key", "block", "fp", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("other"))
     parted = parted.select("t", "key", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "fp")
-    return parted.repartition("t", "key", "one", "two").sortWithinPartitions("t", "key", "one", "two").mapInArrow(_cells, "a long, b long")
+    return parted.repartition("t", "key", "one", "two").sortWithinPartitions("t", "key", "one", "two").mapInArrow(lean(_cells, 10_000), "a long, b long")
 
 
 def components(pairs: DataFrame) -> DataFrame:

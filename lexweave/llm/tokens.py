@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexweave.llm.common import batch_of
+from lexweave.llm.common import batch_of, lean
 
 #: Fixed: the pre-token pattern of byte-level BPE vocabularies.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -156,10 +156,8 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 1024, id_col: str = "d
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(path, whole.value)
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                yield batch_of(SCHEMA, part.column(0).to_pylist(), [len(t.encode()) for t in texts], count(texts))
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            yield batch_of(SCHEMA, batch.column(0).to_pylist(), [len(t.encode()) for t in texts], count(texts))
 
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return slim.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long").withColumn("over_limit", F.col("n_tokens") > F.lit(limit))
+    return slim.mapInArrow(lean(run), "doc_id long, n_bytes long, n_tokens long").withColumn("over_limit", F.col("n_tokens") > F.lit(limit))

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lexweave.llm.common import batch_of, cut, fresh_dir
+from lexweave.llm.common import batch_of, cut, fresh_dir, lean
 
 MAGIC, RECORDS, DATE = "WARC/1.1\r\n", 1000, "2024-01-01T00:00:00Z"
 _END = "\r\n\r\n"
@@ -129,7 +129,7 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def candidates(spark: SparkSession, path: str) -> DataFrame:
     """Every part of every file with its offset ``start`` (that of its magic) and the ``next`` record's offset."""
-    parts = cut(_scan(spark, path).mapInArrow(_parts, _PARTS_DDL))
+    parts = cut(_scan(spark, path).mapInArrow(lean(_parts), _PARTS_DDL))
     # a part is followed by a magic, so a split's bytes are those of its parts and as many magics
     splits = parts.groupBy("file", "split").agg(F.sum(F.col("size") + F.lit(len(MAGIC))).alias("bytes"))
     before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
@@ -178,7 +178,7 @@ def _rejoined(spark: SparkSession, path: str, parted: DataFrame, found: DataFram
                 local += len(value) + len(MAGIC)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.int64())], names=["file", "split", "value", "local"])
 
-    pieces = _scan(spark, path).mapInArrow(place, "file string, split long, value binary, local long")
+    pieces = _scan(spark, path).mapInArrow(lean(place), "file string, split long, value binary, local long")
     sizes = pieces.groupBy("file", "split").agg(F.sum(F.octet_length("value") + F.lit(len(MAGIC))).alias("bytes"))
     before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     base = sizes.select("file", "split", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("base"))
@@ -193,7 +193,7 @@ def _rejoined(spark: SparkSession, path: str, parted: DataFrame, found: DataFram
             body = _body(fields, data[begin : begin + length])
             yield batch_of(_WHOLE, [file], [owner], [len(body)], [_digest(body)])
 
-    return mine.repartition("file", "owner").sortWithinPartitions("file", "owner", "start").mapInArrow(join_up, "file string, start long, whole_bytes long, whole_digest string")
+    return mine.repartition("file", "owner").sortWithinPartitions("file", "owner", "start").mapInArrow(lean(join_up), "file string, start long, whole_bytes long, whole_digest string")
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
