@@ -22,9 +22,11 @@ def duck():
 
 def canonical(df):
     def one(v):
-        if v is None or v is pd.NaT or isinstance(v, float) and np.isnan(v):
+        if pd.isna(v):
             return None
-        return f"{float(v):.6f}" if isinstance(v, (float, np.floating)) else str(v)
+        if isinstance(v, (bool, np.bool_)):
+            return str(bool(v))
+        return f"{float(v):.6f}" if isinstance(v, (int, float, np.number)) else str(v)  # columns with nulls come as floats
 
     df = df[sorted(df.columns)]
     return sorted((tuple(map(one, row)) for row in df.itertuples(index=False)), key=str)
