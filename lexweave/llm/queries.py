@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexweave.llm import decontaminate, html_text, language, lm, packing, pii, quality, simhash, tokens, warc
+from lexweave.llm import decontaminate, html_text, language, packing, pii, quality, simhash, tokens, warc, word_lm
 from lexweave.llm.common import read
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -60,8 +60,8 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    models = lm.fit(docs, read(spark, sf_dir, "labels"))
-    return lm.score(docs, models).select("doc_id", "n_tokens", *(F.round(c, 9).alias(c) for c in ("target_bits", "background_bits", "score")))
+    bits = word_lm.fit(docs, read(spark, sf_dir, "labels"))
+    return word_lm.score(docs, bits).select("doc_id", "n_tokens", *(F.round(c, 9).alias(c) for c in ("target_bits", "background_bits", "score")))
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
