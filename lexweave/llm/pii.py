@@ -4,20 +4,18 @@ Base findings are e-mail addresses, IP addresses, payment cards and phone number
 leftmost matches that do not overlap, of which those that fail the kind's test are dropped.
 They are the protected entities of the information-theoretic part:
 
-* A mention's context is ``CONTEXT`` characters to either side; its terms are the words
-  (runs of letters, lower case) that stand whole in it.
+* The terms of an entity are the words (runs of letters, lower case) anywhere in the texts that
+  hold it, but for those that touch a finding. All counts are of different texts, so that copies prove nothing.
 * An entity e has information IC(e) = -log2 p(e), and a term t tells PMI(t; e) =
-  log2(p(t, e) / (p(t) p(e))) of it, with p(t) from all words of the corpus, p(e) from all
-  mentions and p(t, e) from all contexts. The disclosure PMI / IC is 1 for a term that
-  stands nowhere but by the entity.
-* A term that a pair's ``SUPPORT`` or more different contexts show, so that copies of one
-  text prove nothing, is generalised in the entity's contexts from a disclosure of
+  log2(p(t, e) / (p(t) p(e))) of it. The disclosure PMI / IC is 1 for a term that stands nowhere
+  but by the entity. It shrinks by n / (n + ``PRIOR``) for n texts that hold both: no pair is
+  left out for its number, though one text alone stays below any threshold over 2 / 3.
+* A term is generalised everywhere in the texts that hold the entity from a disclosure of
   ``GENERALISE`` on, and removed from ``REMOVE`` on.
 
 All of it is DataFrame expressions. Places come from the lengths of matches and of what lies
-between them. Work grows with the mentions, never with pairs of a document's words; a hot
-entity is counted by partial sums, and its mentions are joined with the telling terms,
-which may be split where they are skewed.
+between them. Pairs of entity and term are joined only where the counts of both leave the
+threshold within reach, which drops nothing; words are placed only in texts with telling terms.
 
 Edge cases: a null text is an empty one; without findings all counts are 0 and the hash is that
 of nothing. Rows that repeat an id are told apart by their text, and equal rows get equal
@@ -28,10 +26,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lexweave.llm.common import cut, fresh_dir
 
-CONTEXT, SUPPORT, GENERALISE, REMOVE = 60, 3, 0.8, 0.95
+PRIOR, GENERALISE, REMOVE = 0.5, 0.8, 0.95
 KINDS = ("email", "ip", "card", "phone")
 
 #: Java patterns with the matches of the plain ones. Possessive repeats never give back what they could not
@@ -79,75 +78,85 @@ def base_spans(text: str) -> Column:
     return F.expr(f"concat({', '.join(parts)})")
 
 
-def _words(text: str, offset: str, whole_from: str, whole_to: str) -> str:
-    """SQL for the words of a stretch of text, as (term, start, end); those that touch a cut edge are left out."""
-    found = _placed(text, r"\p{L}++", "", "true")
-    return (
-        f"transform(filter({found}, w -> (w.start > 0 or {whole_from}) and (w.end < length({text}) or {whole_to})), "
-        f"w -> struct(lower(substring({text}, w.start + 1, w.end - w.start)) as term, w.start + {offset} as start, w.end + {offset} as end))"
-    )
-
-
 def _slim(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).withColumn("h", F.xxhash64("text"))
 
 
 def find_base(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, h (a hash of the text), spans and contexts of every row; the text itself is left behind."""
+    """doc_id, h (a hash of the text), spans and entities of every row; the text itself is left behind."""
     rows = _slim(docs, id_col, text_col).withColumn("spans", base_spans("text"))
-    sides = rows.withColumn(
-        "near",
-        F.expr(
-            "transform(spans, s -> struct(s.kind as kind, s.start as start, s.end as end, substring(text, s.start + 1, s.end - s.start) as value, "
-            f"substring(text, greatest(s.start - {CONTEXT}, 0) + 1, least(s.start, {CONTEXT})) as left, substring(text, s.end + 1, {CONTEXT}) as right, length(text) - s.end as rest))"
-        ),
+    named = (
+        "array_distinct(transform(transform(spans, s -> struct(s.kind as kind, substring(text, s.start + 1, s.end - s.start) as value)), "
+        "m -> concat(m.kind, ':', if(m.kind in ('card', 'phone'), regexp_replace(m.value, '[^0-9]', ''), lower(m.value)))))"
     )
-    return sides.select("doc_id", "h", "spans", "near")
-
-
-def context_terms(base: DataFrame) -> DataFrame:
-    """A row for every word of every mention's context: doc_id, h, entity, context, term, start, end."""
-    one = base.select("doc_id", "h", "spans", F.explode("near").alias("n")).select("doc_id", "h", "spans", "n.*")
-    value = F.when(F.col("kind").isin("card", "phone"), F.regexp_replace("value", "[^0-9]", "")).otherwise(F.lower("value"))
-    named = one.withColumn("entity", F.concat_ws(":", "kind", value)).withColumn("context", F.xxhash64("left", "right"))
-    words = F.expr(
-        f"concat({_words('left', f'greatest(start - {CONTEXT}, 0)', f'start <= {CONTEXT}', 'true')}, {_words('right', 'end', 'true', f'rest <= {CONTEXT}')})"
+    return rows.select("doc_id", "h", "spans", F.expr(named).alias("entities"))
+
+
+def _terms(text: str) -> Column:
+    return F.explode(F.array_distinct(F.transform(F.regexp_extract_all(F.col(text), F.lit(r"(\p{L}++)"), F.lit(0)), F.lower))).alias("term")
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a table whose size the planner sees: it is sent to the documents or they are dealt out."""
+    path = fresh_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _disclosure(both: Column, n_term: Column, n_entity: Column, n: int) -> Column:
+    """Null where the entity stands in every text."""
+    pmi = F.log2(both * F.lit(float(n)) / (n_term.cast("double") * n_entity))
+    return F.try_divide(pmi, F.log2(F.lit(float(n)) / n_entity)) * both / (both + PRIOR)
+
+
+def telling_terms(rows: DataFrame, base: DataFrame, generalise: float = GENERALISE) -> tuple[DataFrame, DataFrame]:
+    """(h, term, disclosure) of the terms that disclose too much of an entity in the text h, and (h, text) of what may hold some."""
+    counts = base.groupBy("h").agg(F.count("*").alias("copies"))
+    n = max(1, counts.count())
+    copies = _written(counts.where("copies > 1"), "pii-copies")
+    held = base.where("size(entities) > 0").select("h", F.explode("entities").alias("entity")).distinct()
+    n_entity = held.groupBy("entity").agg(F.count("*").alias("n_entity"))
+    # the greatest disclosure that the counts allow: as many texts hold both as hold the rarer one
+    within = lambda n_term, n_entity: _disclosure(F.least(n_term, n_entity).cast("double"), n_term, n_entity, n) >= generalise
+    held = cut(held.join(n_entity.where(within(F.col("n_entity"), F.col("n_entity"))), "entity"))
+    best = held.agg(F.max("n_entity")).first()[0] or 1
+    holders = _written(held.select("h").distinct(), "pii-holders")
+    # each copy of a text counts its share of one
+    share = F.lit(1.0) / F.coalesce("copies", F.lit(1))
+    n_term = rows.join(copies, "h", "left").select(_terms("text"), share.alias("share")).groupBy("term").agg(F.round(F.sum("share")).cast("long").alias("n_term"))
+    n_term = n_term.where(within(F.col("n_term"), F.lit(best)) | (F.col("n_term") <= best))
+    texts = cut(rows.join(holders, "h", "left_semi").groupBy("h").agg(F.first("text").alias("text")))
+    built = (
+        "aggregate(array_sort(transform(spans, s -> struct(s.start as start, s.end as end))), struct(0 as pos, cast(array() as array<string>) as done), "
+        "(a, s) -> struct(greatest(a.pos, s.end) as pos, if(s.start > a.pos, concat(a.done, array(substring(text, a.pos + 1, s.start - a.pos))), a.done) as done), "
+        "a -> array_join(concat(a.done, array(substring(text, a.pos + 1, length(text) - a.pos))), ' '))"
     )
-    terms = named.select("doc_id", "h", "spans", "entity", "context", F.inline(words))
-    return terms.where(F.expr("not exists(spans, s -> start < s.end and end > s.start)")).drop("spans")
-
-
-def telling_terms(docs: DataFrame, base: DataFrame, terms: DataFrame, text_col: str = "text", support: int = SUPPORT, generalise: float = GENERALISE) -> DataFrame:
-    """(entity, term, disclosure) of the pairs that disclose too much."""
-    contexts = terms.groupBy("entity", "term", "context").agg(F.count("*").alias("n"))
-    pairs = cut(contexts.groupBy("entity", "term").agg(F.count("*").alias("shown"), F.sum("n").alias("n_both")).where(F.col("shown") >= support))
-    mentions = base.select(F.explode("near").alias("n")).select("n.*")
-    value = F.when(F.col("kind").isin("card", "phone"), F.regexp_replace("value", "[^0-9]", "")).otherwise(F.lower("value"))
-    n_entity = mentions.groupBy(F.concat_ws(":", "kind", value).alias("entity")).agg(F.count("*").alias("n_entity"))
-    words = docs.select(F.explode(F.split(F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit(""))), r"[^\p{L}]+")).alias("term")).where("term <> ''")
-    n_term = cut(words.groupBy("term").agg(F.count("*").alias("n_term")).join(pairs.select(F.col("term").alias("wanted")).distinct(), F.col("term") == F.col("wanted"), "left_semi"))
-    total = words.agg(F.count("*").alias("n_all"))
-    known = pairs.join(n_entity, "entity").join(n_term, "term").join(F.broadcast(total))  # one row
-    # a word may stand in the contexts of several mentions, so that pairs can outnumber its places
-    both = F.least("n_both", "n_term", "n_entity").cast("double")
-    pmi = F.log2(both * F.col("n_all") / (F.col("n_term").cast("double") * F.col("n_entity")))
-    scored = known.withColumn("disclosure", pmi / F.log2(F.col("n_all") / F.col("n_entity").cast("double")))
-    return scored.where(F.col("disclosure") >= generalise).select("entity", "term", "disclosure")
-
-
-def term_spans(docs: DataFrame, base: DataFrame, text_col: str = "text", support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
-    """Per document that holds telling terms: doc_id, h and their places (kind term, or removed), in order."""
-    terms = context_terms(base)
-    told = terms.join(telling_terms(docs, base, terms, text_col, support, generalise), ["entity", "term"])
-    places = told.groupBy("doc_id", "h", "start", "end").agg(F.max("disclosure").alias("disclosure"))
+    bare = texts.withColumn("spans", base_spans("text")).select("h", F.expr(built).alias("text"))
+    words = bare.select("h", _terms("text")).join(n_term, "term")
+    pairs = cut(words.join(held, "h").where(within(F.col("n_term"), F.col("n_entity"))))
+    both = pairs.groupBy("entity", "term").agg(F.count("*").cast("double").alias("both"), F.first("n_term").alias("n_term"), F.first("n_entity").alias("n_entity"))
+    told = both.withColumn("disclosure", _disclosure(F.col("both"), F.col("n_term"), F.col("n_entity"), n)).where(F.col("disclosure") >= generalise)
+    return pairs.join(told.select("entity", "term", "disclosure"), ["entity", "term"]).groupBy("h", "term").agg(F.max("disclosure").alias("disclosure")), texts
+
+
+def term_spans(docs: DataFrame, base: DataFrame, text_col: str = "text", generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
+    """Per text that holds telling terms: t_h and all their places (kind term, or removed), in order."""
+    rows = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    told, texts = telling_terms(rows, base, generalise)
+    told = cut(told)
+    some = texts.join(told.select("h").distinct(), "h", "left_semi")
+    pieces = F.arrays_zip(F.split("text", r"\p{L}++", -1).alias("gap"), F.regexp_extract_all("text", F.lit(r"(\p{L}++)"), F.lit(0)).alias("word"))
+    each = some.select("h", F.posexplode(pieces).alias("pos", "x")).select("h", "pos", F.col("x.gap").alias("gap"), F.col("x.word").alias("word"))
+    ends = F.sum(F.length("gap") + F.length("word")).over(Window.partitionBy("h").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
+    placed = each.where("word is not null").select("h", "word", ends.cast("int").alias("end"))
+    placed = placed.select("h", F.lower("word").alias("term"), (F.col("end") - F.length("word")).alias("start"), "end").join(told, ["h", "term"])
+    spans = base.where("size(spans) > 0").groupBy("h").agg(F.first("spans").alias("spans"))
+    places = placed.join(spans, "h").where(F.expr("not exists(spans, s -> start < s.end and end > s.start)"))
     kind = F.when(F.col("disclosure") >= remove, "removed").otherwise("term")
     span = F.struct(kind.alias("kind"), F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"))
-    grouped = places.groupBy("doc_id", "h").agg(F.sort_array(F.transform(F.collect_list(F.struct("start", span.alias("s"))), lambda x: x)).alias("found"))
-    rows = grouped.select(F.col("doc_id").alias("t_id"), F.col("h").alias("t_h"), F.transform("found", lambda x: x["s"]).alias("terms"))
-    notes = fresh_dir(docs.sparkSession, "pii-terms")
-    rows.write.parquet(notes)  # its size decides whether it is sent to the documents or they are dealt out
-    return docs.sparkSession.read.parquet(notes)
+    grouped = places.groupBy("h").agg(F.sort_array(F.collect_list(F.struct("start", span.alias("s")))).alias("found"))
+    return _written(grouped.select(F.col("h").alias("t_h"), F.transform("found", lambda x: x["s"]).alias("terms")), "pii-terms")
 
 
 def _joined(spans: str) -> Column:
@@ -158,7 +167,7 @@ def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     """doc_id, the number of base findings of each kind, base_sha256, spans and n_terms of every row."""
     base = cut(find_base(docs, id_col, text_col))
     terms = term_spans(docs, base, text_col, **limits)
-    both = base.join(terms, base["doc_id"].eqNullSafe(terms["t_id"]) & (base["h"] == terms["t_h"]), "left")
+    both = base.join(terms, base["h"] == terms["t_h"], "left")
     count = [F.expr(f"size(filter(spans, s -> s.kind = '{k}'))").cast("long").alias(f"n_{k}") for k in KINDS]
     every = F.expr(f"concat(spans, transform(coalesce(terms, cast(array() as {_FOUND})), t -> struct('term' as kind, t.start as start, t.end as end)))")
     return both.withColumn("every", every).select("doc_id", *count, F.sha2(_joined("spans"), 256).alias("base_sha256"), _joined("every").alias("spans"), F.coalesce(F.size("terms"), F.lit(0)).cast("long").alias("n_terms"))
@@ -170,7 +179,7 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     terms = term_spans(docs, base, text_col, **limits)
     columns, text = docs.columns, F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.withColumns({"__text": text, "__h": F.xxhash64(text)})
-    rows = rows.join(terms.withColumnsRenamed({"t_id": "__t_id", "t_h": "__t_h", "terms": "__terms"}), F.col(id_col).cast("long").eqNullSafe(F.col("__t_id")) & (F.col("__h") == F.col("__t_h")), "left")
+    rows = rows.join(terms.withColumnsRenamed({"t_h": "__t_h", "terms": "__terms"}), F.col("__h") == F.col("__t_h"), "left")
     rows = rows.withColumn("__spans", base_spans("__text"))
     ordered = f"array_sort(transform(concat(__spans, coalesce(__terms, cast(array() as {_FOUND}))), s -> struct(s.start as start, s.end as end, s.kind as kind)))"
     built = (

@@ -89,3 +89,21 @@ def test_native(spark):
     docs = spark.createDataFrame([(1, "a@b.cc")], "doc_id long, text string")
     plan = pii.findings(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_terms_far_away_and_in_two_texts(spark):
+    """A term is found over the whole text, everywhere in it, and two different texts are enough."""
+    far = " ".join(["note agent keeps common words here"] * 20)
+    own = [(i, f"Zanzibar {i}. {far} boss@corp.example {far} zanzibar, then") for i in range(2)]
+    docs = spark.createDataFrame(own + [(100 + i, f"then {far} {i}") for i in range(60)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in pii.findings(docs).collect()}
+    text = dict(own)[0]
+    at = [m.start() for m in re.finditer("zanzibar", text.lower())]
+    assert got[0]["spans"].split(",")[1:] == [f"term:{a}:{a + 8}" for a in at] and got[100]["n_terms"] == 0
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(docs).collect()}
+    assert clean[0] == text.replace("Zanzibar", "[TERM]").replace("zanzibar", "[TERM]").replace("boss@corp.example", "[EMAIL]")
+
+
+def test_one_text_proves_nothing_about_rare_words(spark):
+    docs = spark.createDataFrame([(1, "quux a@b.cc waldo")] + [(10 + i, f"other text {i}") for i in range(30)], "doc_id long, text string")
+    assert {r["n_terms"] for r in pii.findings(docs).collect()} == {0}
