@@ -1,9 +1,9 @@
 """Packing by optimal length buckets.
 
 Every document has a length in tokens: words between ASCII white space, or any count
-column. The global histogram of lengths goes to the driver (at most ``BINS`` rows: longer
-tables round lengths up to a multiple), and dynamic programming over it chooses the
-``BUCKETS`` boundaries with the least padding in all. A document pads to its bucket's
+column. The global histogram of different lengths goes to the driver as it is, since d of them take
+d * (d - 1) / 2 tokens at least: ``BINS`` rows stand for 2 G tokens. Dynamic programming over it
+chooses the ``BUCKETS`` boundaries with the least padding in all. A document pads to its bucket's
 boundary; batches of a bucket hold as many documents as the token budget allows, at
 least one, so that a document over the budget is a batch of its own. Nothing is cut.
 
@@ -18,6 +18,8 @@ table gives no rows. The other columns are not read.
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -81,11 +83,12 @@ def pack(docs: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET, id_col:
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), (n_words(text_col) if length is None else length.cast("long")).alias("n_tokens"), F.xxhash64(F.col(text_col)).alias("h"))
     rows = cut(rows)
-    longest, n = rows.agg(F.max("n_tokens"), F.count("*")).first()
-    step = max(1, -(-int(longest or 0) // BINS))
-    binned = (F.ceil(F.col("n_tokens") / F.lit(step)) * step).cast("long")
-    histogram = rows.groupBy(binned.alias("len")).count().orderBy("len").collect()  # at most BINS + 1 rows
-    bounds = boundaries(np.array([r["len"] for r in histogram]), np.array([r["count"] for r in histogram]), buckets) if histogram else [0]
+    histogram = rows.groupBy(F.coalesce("n_tokens", F.lit(0)).alias("len")).count().orderBy("len").toArrow()
+    lengths, counts = histogram["len"].to_numpy(), histogram["count"].to_numpy()
+    n = int(counts.sum())
+    if len(lengths) > BINS:
+        warnings.warn(f"{len(lengths)} different lengths are on the driver; boundaries stay exact", stacklevel=2)
+    bounds = boundaries(lengths, counts, buckets) if n else [0]
     table = F.array(*(F.lit(b).cast("long") for b in bounds))
     bucket = F.size(F.filter(table, lambda b: b < F.col("n_tokens")))
     shards = max(LEAST_SHARDS, -(-n // SHARD_ROWS))

@@ -65,3 +65,15 @@ def test_bins_are_bounded(spark, monkeypatch):
     got = packing.pack(docs, buckets=4, budget=300).collect()
     assert len(got) == 200
     check(got, 4, 300)
+
+
+def test_one_giant_length_moves_no_boundary(spark):
+    """Lengths stay exact beside one far over BINS: the boundaries are those of the best choice of all."""
+    lengths = [1, 3, 4, 9, 11, 17, 40, 1_000_001]
+    rows = [(100 * i + c, n) for i, n in enumerate(lengths) for c in range(1 + 5 * (i % 3))]
+    docs = spark.createDataFrame([(i, "", n) for i, n in rows], "doc_id long, text string, n long")
+    got = packing.pack(docs, buckets=4, length=docs["n"]).collect()
+    counts = [sum(n == x for _, n in rows) for x in lengths]
+    best = min(padding(lengths, counts, [*s, lengths[-1]]) for s in itertools.combinations(lengths[:-1], 3))
+    assert {r["bucket_len"] for r in got} <= set(lengths)
+    assert sum(r["bucket_len"] - r["n_tokens"] for r in got) == best
