@@ -216,7 +216,7 @@ def select(root: Node) -> None:
                 inside = False
                 while path is not None and not inside:
                     inside, path = path.content, path.parent
-                if not inside and found.link_chars * 2 < found.chars and found.chars >= 0.25 * best.chars:
+                if not inside and found.link_chars * 2 < found.chars:
                     _lifted(found).content = True
         todo += [c for c in node.children if isinstance(c, Node) and not c.skip]
 

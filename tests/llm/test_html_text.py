@@ -61,3 +61,13 @@ def test_rows(spark):
     got = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
     assert sorted(map(tuple, got), key=str) == sorted([(1, "u", "x", 1), (1, "u", "x", 1), (None, None, "", 0)], key=str)
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_unequal_sections_without_article():
+    """Every dense section is text, however small beside the greatest; menus stay out."""
+    few = [f"few {i} " + "word " * 199 for i in range(4)]
+    many = [f"many {i} " + "word " * 99 for i in range(40)]
+    section = lambda texts: "<div>" + "".join(f"<p>{t}</p>" for t in texts) + "</div>"
+    links = "<div>" + "".join(f'<a href="/{i}">Another story of the day</a> ' for i in range(9)) + "</div>"
+    got = html_text.main_text(f"<body>{links}{section(few)}{section(many)}</body>")
+    assert got == "\n".join(t.strip() for t in [*few, *many])
