@@ -59,9 +59,8 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
-    bits = word_lm.fit(docs, read(spark, sf_dir, "labels"))
-    return word_lm.score(docs, bits).select("doc_id", "n_tokens", *(F.round(c, 9).alias(c) for c in ("target_bits", "background_bits", "score")))
+    scored = word_lm.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "n_tokens", *(F.round(c, 9).alias(c) for c in ("target_bits", "background_bits", "score")))
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
