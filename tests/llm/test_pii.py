@@ -1,8 +1,10 @@
 """Base findings against plain regular expressions, and the corpus model on planted texts."""
 
 import hashlib
+import math
 import random
 import re
+from collections import Counter
 
 import pytest
 
@@ -58,7 +60,7 @@ def test_driver_tables(spark):
 
 
 def contract(spark):
-    own = [(i, f"Note {i}: agent zanzibar keeps box{i} boss@corp.example then word{i} common words here") for i in range(6)]
+    own = [(i, f"Note {i}: agent zanzibar keeps box {i} boss@corp.example then word {i} common words here") for i in range(6)]
     return spark.createDataFrame(own + [(100 + i, f"note agent keeps common words here then {i}") for i in range(60)] + [(200, "zanzibar")], "doc_id long, text string")
 
 
@@ -107,3 +109,87 @@ def test_terms_far_away_and_in_two_texts(spark):
 def test_one_text_proves_nothing_about_rare_words(spark):
     docs = spark.createDataFrame([(1, "quux a@b.cc waldo")] + [(10 + i, f"other text {i}") for i in range(30)], "doc_id long, text string")
     assert {r["n_terms"] for r in pii.findings(docs).collect()} == {0}
+
+
+def words_beside(text):
+    """The different terms of a text outside its findings."""
+    found, out, at = sorted((a, b) for _, a, b in brute(text)), [], 0
+    for a, b in found:
+        out.append(text[at:a] if a > at else "")
+        at = max(at, b)
+    return set(re.findall(r"[^\W_]+", " ".join([*out, text[at:]]).lower()))
+
+
+def entities_of(text):
+    values = {f"{k}:{re.sub('[^0-9]', '', text[a:b]) if k in ('card', 'phone') else text[a:b].lower()}" for k, a, b in brute(text)}
+    return values, {v.split(":")[0] for v in values} | ({pii.ANY} if values else set())
+
+
+def brute_terms(texts, generalise, remove):
+    """Per text the spans of its telling terms, by counting everything in dictionaries."""
+    texts = set(texts)
+    n, n_term, n_entity, both, proofs = len(texts), Counter(), Counter(), Counter(), {}
+    for text in texts:
+        n_term.update(set(re.findall(r"[^\W_]+", text.lower())))
+        values, classes = entities_of(text)
+        n_entity.update(values | classes)
+        for t in words_beside(text) if values else ():
+            for e in values | classes:
+                both[e, t] += 1
+                proofs.setdefault((e, t), set()).add(text if e in values else frozenset(values))
+    told = {}
+    for (e, t), k in both.items():
+        if n_entity[e] < n:
+            support, prior = len(proofs[e, t]), pii.PRIOR if ":" in e else pii.CLASS_PRIOR
+            told[e, t] = math.log2(k * n / (n_term[t] * n_entity[e])) / math.log2(n / n_entity[e]) * support / (support + prior)
+    out = {}
+    for text in texts:
+        values, classes = entities_of(text)
+        found, spans = [(a, b) for _, a, b in brute(text)], []
+        for m in re.finditer(r"[^\W_]+", text) if values else ():
+            d = max((told.get((e, m[0].lower()), 0) for e in values | classes), default=0)
+            if d >= generalise and not any(m.start() < b and m.end() > a for a, b in found):
+                spans.append(f"{'removed' if d >= remove else 'term'}:{m.start()}:{m.end()}")
+        out[text] = spans
+    return out
+
+
+def test_whole_table_against_brute_force(spark):
+    rng = random.Random(11)
+    pool = [f"w{i}" for i in range(40)]
+    rows = []
+    for i in range(400):
+        words = rng.choices(pool, k=rng.randrange(25))
+        if i % 9 == 0:
+            words += [rng.choice(["a@b.cc", "1.2.3.4", f"u{i % 7}@mail.cc", *(f"{x}{i}@mail.cc" for x in "stuvxyz")]), "token", rng.choice(["q", "r"])]
+            rng.shuffle(words)
+        rows.append((i, " ".join(words)))
+    rows += [(500 + i, rows[9][1]) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for limits in ({}, {"generalise": 0.4, "remove": 0.6}):
+        want = brute_terms([t for _, t in rows], limits.get("generalise", pii.GENERALISE), limits.get("remove", pii.REMOVE))
+        assert any(want.values())
+        got = {r["doc_id"]: [s for s in r["spans"].split(",") if s.startswith(("term", "removed"))] for r in pii.findings(docs, **limits).collect()}
+        assert got == {i: want[t] for i, t in rows}
+
+
+def test_driver_tables_against_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    want = brute_terms(texts.values(), 0.6, 0.9)
+    got = {r["doc_id"]: [s for s in r["spans"].split(",") if s.startswith(("term", "removed"))] for r in pii.findings(docs, generalise=0.6, remove=0.9).collect()}
+    assert sum(map(len, got.values())) > 0 and got == {i: want[t] for i, t in texts.items()}
+
+
+def test_very_many_findings(spark):
+    text = " ".join(f"a{i}@mail.example.com x" for i in range(100_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    got = pii.findings(docs).collect()[0]
+    assert tuple(got)[1:6] == expected(text)
+    assert pii.sanitise(docs).collect()[0]["text"] == re.sub(PLAIN["email"], "[EMAIL]", text)
+
+
+def test_clashing_columns_stay(spark):
+    row = (1, "x a@b.cc y", "h", "r", 7, "t")
+    docs = spark.createDataFrame([row], "doc_id long, text string, h string, row string, spans int, terms string")
+    assert tuple(pii.sanitise(docs).collect()[0]) == (1, "x [EMAIL] y", "h", "r", 7, "t")
