@@ -25,6 +25,7 @@ corpus, and V is exact up to ``SKETCH`` words and from the least ``SKETCH`` hash
    table of counts is shuffled again. As sum over v of log c(v) over a text is the same as over w,
    a bucket needs no count but those of w and v w. There is a bucket for each ``BUCKET`` tokens; no
    key has over 2 ** (1 - RARITY) of the corpus.
+   Which rows are good is sent to the tasks as well, up to ``SENT`` ids, else joined; the result is the same.
 3. The losses go back to the rows as whole numbers of 2 ** -``SCALE`` bits, so that their sum does
    not depend on the order.
 
@@ -57,6 +58,8 @@ FLUSH, BUCKET = 1 << 20, 1 << 20
 _UNSPACED = "฀-໿က-႟ក-៿぀-ヿ㐀-䶿一-鿿豈-﫿\U00020000-\U0003ffff"
 _TOKEN = re.compile(rf"(?:(?![{_UNSPACED}_])\w)+|\S")
 _MOST_ROWS, _CACHE = 30_000, 500_000
+#: Good ids that are sent to all tasks.
+SENT = 8_000_000
 
 
 def words(text: str | None) -> list[str]:
@@ -351,14 +354,33 @@ def _grouped(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[i
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("target_bits", pa.float64()), ("background_bits", pa.float64()), ("score", pa.float64())])
 
 
+def _with_flags(rows: DataFrame, good: DataFrame) -> DataFrame:
+    """The rows and whether their doc_id is among the good ones.
+
+    Up to ``SENT`` ids are sent to the tasks as an array, of 8 bytes an id, so that no text moves; more are joined.
+    """
+    path = fresh_dir(rows.sparkSession, "lm-good")
+    good.write.parquet(path)
+    good = rows.sparkSession.read.parquet(path)
+    if good.count() > SENT:
+        return rows.join(good, F.col("doc_id") == F.col("good_id"), "left").select("row", "text", "doc_id", F.col("good_id").isNotNull().alias("good"))
+    held = rows.sparkSession.sparkContext.broadcast(np.sort(good.toArrow()["good_id"].to_numpy()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(2)
+            known = np.isin(ids.fill_null(0).to_numpy(zero_copy_only=False), held.value) & ids.is_valid().to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(known)], names=["row", "text", "doc_id", "good"])
+
+    return rows.mapInArrow(run, "row long, text string, doc_id long, good boolean")
+
+
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", flush: int = FLUSH, bucket: int = BUCKET, rarity: int = RARITY, sketch: int = SKETCH) -> DataFrame:
     """doc_id, n_tokens, the loss per token under both models, and their difference, of every row."""
     spark = docs.sparkSession
     good = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("good_id")).agg(F.min(F.coalesce(F.col("quality"), F.lit(0))).alias("quality")).where("quality > 0").select("good_id")
-    notes = fresh_dir(spark, "lm-good")
-    good.write.parquet(notes)  # its size decides whether it is sent to the texts or they are dealt out
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = slim.join(spark.read.parquet(notes), F.col("doc_id") == F.col("good_id"), "left").select(F.monotonically_increasing_id().alias("row"), "text", "doc_id", F.col("good_id").isNotNull().alias("good"))
+    slim = docs.select(F.monotonically_increasing_id().alias("row"), F.col(text_col).cast("string").alias("text"), F.col(id_col).cast("long").alias("doc_id"))
+    rows = _with_flags(slim, good)
     flagged = rows.select("row", "text", "good")
     seen = _survey(flagged, flush, rarity, sketch)
     counts = _counted(flagged, seen[_WORD], seen[_GRAM], flush)

@@ -82,6 +82,12 @@ def test_same_result_whatever_is_frequent_and_however_it_is_dealt(spark, limits)
     agree(word_lm.score(docs.repartition(3), labels, **limits).collect(), brute(ROWS, GOOD))
 
 
+def test_more_good_rows_than_are_sent(spark, monkeypatch):
+    monkeypatch.setattr(word_lm, "SENT", 10)
+    docs, labels = frames(spark, ROWS, LABELS)
+    agree(word_lm.score(docs, labels).collect(), brute(ROWS, GOOD))
+
+
 def test_random_words(spark):
     rng = random.Random(5)
     rows = [(i, " ".join(rng.choice("abcdefgh") * rng.randint(1, 3) for _ in range(rng.randint(0, 60)))) for i in range(120)]
