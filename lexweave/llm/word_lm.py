@@ -16,7 +16,7 @@ stands before and after each text. No word, bigram or row is left out. N and V a
 corpus, and V is exact up to ``SKETCH`` words and from the least ``SKETCH`` hashes beyond.
 
 1. Frequent words and bigrams: a task hands on what has a share of 2 ** -``RARITY`` in a run of
-   ``FLUSH`` tokens. What has twice that share in the corpus must be among it, and at most
+   ``FLUSH`` characters. What has twice that share in the corpus must be among it, and at most
    2 ** RARITY of each kind can have it. A second pass counts these exactly; they are sent to all
    tasks (at most 2 * 2 ** RARITY numbers of 24 bytes), and frequent bigrams are scored where
    they stand.
@@ -34,7 +34,7 @@ What is shuffled is packed: runs of rows with the planes of their bytes compress
 Edge cases: a null or empty text has one token, the closing edge. A document with several
 labels is good if none says otherwise; rows that repeat an id count each, give a row each, and
 take off only themselves. Without good rows the target model is uniform over the vocabulary. A
-text of over FLUSH tokens is a run of its own. An empty table gives no rows. Columns other than
+text of over FLUSH characters is a run of its own. An empty table gives no rows. Columns other than
 id and text are not read, whatever their names.
 """
 
@@ -45,7 +45,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,29 +52,20 @@ from lexweave.llm.common import batch_of, fresh_dir, lean
 
 ALPHA, MU = 0.5, 4.0
 RARITY, SKETCH, SCALE = 16, 16_384, 14
-FLUSH, BUCKET = 1 << 20, 1 << 20
+FLUSH, BUCKET = 4 << 20, 1 << 20
 #: Thai to Myanmar and Khmer, kana, Han and its extensions.
 _UNSPACED = "฀-໿က-႟ក-៿぀-ヿ㐀-䶿一-鿿豈-﫿\U00020000-\U0003ffff"
 _TOKEN = re.compile(rf"(?:(?![{_UNSPACED}_])\w)+|\S")
-_MOST_ROWS, _CACHE = 30_000, 500_000
+_MOST_ROWS = 30_000
 #: Good ids that are sent to all tasks.
 SENT = 8_000_000
 
 
 def words(text: str | None) -> list[str]:
+    """The tokens of a text; what the arrays below must agree with."""
     return _TOKEN.findall((text or "").lower())
 
 
-class _Hashes(dict):
-    """The hash of a token; kept for as many tokens as ``_CACHE``. The edge is 0."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= _CACHE:
-            self.clear()
-        found = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), 9) or 1
-        return found
-
-
 def _mix(v: np.ndarray, w: np.ndarray) -> np.ndarray:
     x = v * np.uint64(0x9E3779B97F4A7C15) + w
     for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
@@ -86,33 +76,77 @@ def _mix(v: np.ndarray, w: np.ndarray) -> np.ndarray:
 class Run:
     """Some rows of a task: what came with them, and their bigrams v w, one after another."""
 
-    def __init__(self, first: int, tails: list, sizes: list[int], v: np.ndarray, w: np.ndarray):
-        self.first, self.tails, self.sizes, self.v, self.w = first, tails, np.array(sizes, np.int64), v, w
+    def __init__(self, first: int, tails: list, sizes: np.ndarray, v: np.ndarray, w: np.ndarray):
+        self.first, self.tails, self.sizes, self.v, self.w = first, tails, sizes.astype(np.int64), v, w
         self.row = np.repeat(np.arange(len(sizes), dtype=np.int64), self.sizes)
 
 
+class _Kinds:
+    """What characters are: white space (0), part of a word (1) or a token by themselves (2)."""
+
+    def __init__(self):
+        self.table = np.full(0x110000, 3, np.uint8)
+
+    def of(self, codes: np.ndarray) -> np.ndarray:
+        kind = self.table[codes]
+        if (kind == 3).any():
+            for c in np.unique(codes[kind == 3]).tolist():
+                m = _TOKEN.match(chr(c) + "x")
+                self.table[c] = 0 if m is None else len(m[0]) == 1 and 2 or 1
+            kind = self.table[codes]
+        return kind
+
+
+def _token_hashes(texts: list[str], kinds: _Kinds) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all tokens of lower-case texts, none of them 0, and the number of each text's tokens."""
+    codes = np.frombuffer("\n".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    kind = kinds.of(codes)
+    word = kind == 1
+    begins = kind == 2
+    begins[:1] |= word[:1]
+    begins[1:] |= word[1:] & ~word[:-1]
+    start = np.flatnonzero(begins)
+    kept = kind > 0
+    first = (np.cumsum(kept) - 1)[start] if len(start) else start  # where tokens begin among characters that are kept
+    sizes = np.diff(np.append(first, int(kept.sum())))
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    per = np.diff(np.append(0, np.searchsorted(start, ends)))
+    if not len(start):
+        return np.zeros(0, np.uint64), per
+    power = np.full(int(sizes.max()), 0x9E3779B97F4A7C15, np.uint64)
+    power[0] = 1
+    power = np.multiply.accumulate(power)
+    place = np.arange(int(sizes.sum())) - np.repeat(first, sizes)
+    letters = _mix(codes[kept].astype(np.uint64), np.full(1, 7, np.uint64))
+    hashes = _mix(np.add.reduceat(letters * power[place], first), sizes.astype(np.uint64))
+    hashes[hashes == 0] = 1
+    return hashes, per
+
+
 def _runs(batches: Iterator[pa.RecordBatch], flush: int) -> Iterator[Run]:
-    """Rows (row number, text, ...) in runs of about so many tokens, whole rows each."""
-    hashes, first, tails, parts, held = _Hashes(), 0, [], [], 0
+    """Rows (row number, text, ...) in runs of about so many characters, whole rows each."""
+    kinds, first, tails, texts, held = _Kinds(), 0, [], [], 0
 
     def run() -> Run:
-        v = np.concatenate([np.append(np.uint64(0), p[:-1]) for p in parts])
-        return Run(first, tails, [len(p) for p in parts], v.astype(np.uint64), np.concatenate(parts))
+        h, per = _token_hashes(texts, kinds)
+        sizes = per + 1
+        w = np.zeros(len(h) + len(per), np.uint64)  # an edge, 0, stands behind each row's tokens
+        at = np.ones(len(w), bool)
+        at[np.cumsum(sizes) - 1] = False
+        w[at] = h
+        return Run(first, tails, sizes, np.concatenate([np.zeros(1, np.uint64), w[:-1]]), w)
 
     for batch in batches:
         for number, text, *tail in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if not parts:
+            if not texts:
                 first = number
-            found = words(text)
-            h = np.zeros(len(found) + 1, np.uint64)
-            h[:-1] = np.fromiter(map(hashes.__getitem__, found), np.uint64, len(found))
-            parts.append(h)
+            texts.append((text or "").lower())
             tails.append(tail)
-            held += len(h)
-            if held >= flush or len(parts) >= _MOST_ROWS:
+            held += len(texts[-1])
+            if held >= flush or len(texts) >= _MOST_ROWS:
                 yield run()
-                tails, parts, held = [], [], 0
-    if parts:
+                tails, texts, held = [], [], 0
+    if texts:
         yield run()
 
 
@@ -256,6 +290,13 @@ def _sums(row: np.ndarray, a: np.ndarray, b: np.ndarray, n: int) -> tuple[np.nda
     return out[0], out[1]
 
 
+def _order(minor: np.ndarray, major: np.ndarray) -> np.ndarray:
+    """The order by major and then minor; a major of few bits is sorted by its digits."""
+    order = np.argsort(minor)
+    small = major.astype(np.uint16) if len(major) and int(major.max()) < 1 << 16 else major
+    return order[np.argsort(small[order], kind="stable")]
+
+
 def _runs_of(*keys: np.ndarray) -> np.ndarray:
     """Where a new group begins in rows ordered by the keys."""
     new = np.ones(len(keys[0]), bool)
@@ -268,18 +309,16 @@ def _spread(r: Run, model: Model, buckets: int) -> Iterator[tuple[int, bytes]]:
     """A run's rows with what its frequent bigrams lose, and the others by bucket."""
     good = _flags(r, 1)
     gram = _mix(r.v, r.w)
-    order = np.lexsort((gram, r.row))
-    order = order[_runs_of(r.row[order], gram[order])]  # the first of each bigram of a row
-    key = np.lexsort((gram, r.row))
+    key = _order(gram, r.row)
     begins = _runs_of(r.row[key], gram[key])
-    own_gram = np.diff(np.append(begins, len(key)))
+    own_gram, order = np.diff(np.append(begins, len(key))), key[begins]  # the first of each bigram of a row
     row, v, w, gram = r.row[order], r.v[order], r.w[order], gram[order]
     # how often the row has the word
-    by_word = np.lexsort((r.w, r.row))
-    begins = _runs_of(r.row[by_word], r.w[by_word])
-    often = np.repeat(np.diff(np.append(begins, len(by_word))), np.diff(np.append(begins, len(by_word))))
-    count = np.empty(len(by_word), np.int64)
-    count[by_word] = often
+    key = _order(r.w, r.row)
+    begins = _runs_of(r.row[key], r.w[key])
+    often = np.diff(np.append(begins, len(key)))
+    count = np.empty(len(key), np.int64)
+    count[key] = np.repeat(often, often)
     own_word = count[order]
 
     def place(keys: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -298,7 +337,7 @@ def _spread(r: Run, model: Model, buckets: int) -> Iterator[tuple[int, bytes]]:
     rest = np.flatnonzero(~frequent)
     meet = np.where(word_frequent[rest], gram[rest], _mix(w[rest], np.ones(1, np.uint64))) >> np.uint64(32)
     bucket = (meet * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-    order = np.lexsort((w[rest], bucket))
+    order = _order(w[rest], bucket)
     rest, bucket = rest[order], bucket[order]
     edges = np.append(_runs_of(bucket), len(bucket))
     for s, e in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
@@ -316,7 +355,8 @@ def _scored(parts: list[tuple[int, bytes]], model: Model) -> Iterator[tuple[int,
             held.append(c)
     w, v, row, own_gram, own_word, run = (np.concatenate(c) for c in columns)
     own_gram, own_word, good = own_gram.astype(np.int64), own_word.astype(np.int64), (row & 1).astype(bool)
-    order = np.lexsort((v, w))
+    order = np.argsort(v)
+    order = order[np.argsort(w[order], kind="stable")]
     # counts of each bigram and of each word, put back at its entries
     by_gram, by_word = _runs_of(w[order], v[order]), _runs_of(w[order])
     counts = []

@@ -56,6 +56,19 @@ def test_words():
     assert word_lm.words("日本 語") == ["日", "本", "語"] and word_lm.words(None) == []
 
 
+def test_hashes_agree_with_words():
+    rng = random.Random(8)
+    kinds, seen = word_lm._Kinds(), {}
+    for _ in range(300):
+        texts = ["".join(rng.choice("ab_é ,\n\t\u3000語คA1½İß\U0001f600\u0301") for _ in range(rng.randrange(12))) for _ in range(rng.randrange(4))]
+        hashes, per = word_lm._token_hashes([t.lower() for t in texts], kinds)
+        found = [word_lm.words(t) for t in texts]
+        assert per.tolist() == [len(f) for f in found] and len(hashes) == sum(map(len, found))
+        for w, h in zip([w for f in found for w in f], hashes.tolist(), strict=True):
+            assert seen.setdefault(w, h) == h != 0
+    assert len(set(seen.values())) == len(seen)
+
+
 def test_pack():
     columns = np.array([0, 2**63, 5], np.uint64), np.array([-3, 0, 2**40], np.int64), np.zeros(3, np.uint16), np.zeros(0, np.uint32)
     for a, b in zip(columns, word_lm._unpack(word_lm._pack(*columns)), strict=True):
