@@ -34,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexweave.llm.common import batch_of, cut, lean
@@ -57,18 +57,23 @@ def fingerprint(text: str | None) -> int:
     return int(np.packbits(2 * count > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-_PRINTS = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+_PRINTS = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64()), ("h", pa.int64())])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and fp, the fingerprint's bits as a signed long, of every row."""
+    """doc_id, fp, the fingerprint's bits as a signed long, and h, a hash of the text, of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = np.array([fingerprint(t) for t in batch.column(1).to_pylist()], np.uint64)
-            yield batch_of(_PRINTS, batch.column(0).to_pylist(), prints.view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64)), batch.column(2)], schema=_PRINTS)
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(lean(run), "doc_id long, fp long")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), _text_hash(text_col).alias("h")).mapInArrow(lean(run), "doc_id long, fp long, h long")
+
+
+def _text_hash(text_col: str) -> Column:
+    """Tells a null text from an empty one."""
+    return F.xxhash64(F.col(text_col).isNull(), F.col(text_col).cast("string"))
 
 
 def pivot_table(prints: np.ndarray, pivots: int = PIVOTS) -> np.ndarray:
@@ -211,17 +216,22 @@ def components(pairs: DataFrame) -> DataFrame:
         before = now
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp and component_id (the least id of its component) of every row."""
+def labelled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, fp, h, root (the component's least fingerprint) and component_id (its least id) of every row."""
     prints = cut(fingerprints(docs, id_col, text_col))
     classes = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(links(classes.select("fp")))
     linked = classes.join(roots, F.col("fp") == F.col("node")).select("fp", "least", "root")
     named = linked.groupBy("root").agg(F.min("least").alias("component"))
-    linked = linked.join(named, "root").select(F.col("fp").alias("linked_fp"), "component")
-    label = classes.join(linked, F.col("fp") == F.col("linked_fp"), "left").select("fp", F.coalesce("component", "least").alias("component_id"))
+    linked = linked.join(named, "root").select(F.col("fp").alias("linked_fp"), "component", "root")
+    label = classes.join(linked, F.col("fp") == F.col("linked_fp"), "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component", "least").alias("component_id"))
     label = cut(label)  # so that both sides of the last join are plain exchanges, of which skewed parts are split
-    return prints.join(label, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(label, "fp").select("doc_id", "fp", "h", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, fp and component_id (the least id of its component) of every row."""
+    return labelled(docs, id_col, text_col).select("doc_id", "fp", "component_id")
 
 
 def hex_print(fp: str = "fp"):
@@ -229,14 +239,22 @@ def hex_print(fp: str = "fp"):
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The document with the least id of every component, with all its columns; rows without an id stay.
+    """One row of every component, with all its columns: the one with the least id, and of these the least hash of its text.
 
-    Of rows that repeat an id, one stays.
+    Rows without an id come after all others. Rows that repeat an id with texts of different components stay
+    each for its own; of rows alike in id and text one stays. Texts are only moved where such rows are kept.
     """
-    found = cut(near_duplicates(docs, id_col, text_col))
-    keep = found.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").count()
-    kept = keep.select(F.col("doc_id").alias("__kept_id"))
-    rows = docs.join(kept.hint("shuffle_hash"), F.col(id_col).cast("long") == F.col("__kept_id"), "left_semi")
-    if keep.where("count > 1").limit(1).count():
-        rows = rows.dropDuplicates([id_col])
-    return rows.unionByName(docs.where(F.col(id_col).isNull()))
+    found = cut(labelled(docs, id_col, text_col))
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "h")).alias("r")).select(F.col("r.doc_id").alias("__id"), F.col("r.h").alias("__h"))
+    first = cut(first)
+    kept = F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (_text_hash(text_col) == F.col("__h"))
+    own = found.groupBy(F.col("doc_id").alias("i"), F.col("h").alias("t")).agg(F.count("*").alias("n")).where("n > 1")
+    many = cut(first.join(own, F.col("__id").eqNullSafe(F.col("i")) & (F.col("__h") == F.col("t"))).select("__id", "__h"))
+    if not many.limit(1).count():
+        return docs.join(first.hint("shuffle_hash"), kept, "left_semi")
+    single = first.join(many.select(F.col("__id").alias("i"), F.col("__h").alias("t")), F.col("__id").eqNullSafe(F.col("i")) & (F.col("__h") == F.col("t")), "left_anti")
+    alike = docs.join(many, kept, "left_semi")
+    # rows may differ in other columns: the least of these stays
+    rows = alike.select(F.struct(*(F.col(c) for c in docs.columns)).alias("row"), F.col(id_col).cast("long").alias("i"), _text_hash(text_col).alias("t"))
+    one = rows.groupBy("i", "t").agg(F.min("row").alias("row")).select(*(F.col("row")[c].alias(c) for c in docs.columns))
+    return docs.join(single.hint("shuffle_hash"), kept, "left_semi").unionByName(one)

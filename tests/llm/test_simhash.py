@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 import xxhash
 
 from lexweave.llm import simhash
@@ -117,9 +118,47 @@ def test_pivots_bound_distances():
     assert (np.abs(table[:, None, :].astype(int) - table[None, :, :]).max(2) <= d).all()
 
 
-def test_one_of_each(spark):
-    rows = [(3, "a b c d e f"), (1, "a b c d e f"), (1, "a b c d e f"), (9, "other words are here now"), (None, "no id at all here")]
-    docs = spark.createDataFrame([(*r, "en") for r in rows], "doc_id long, text string, lang string")
+A, B, C = "a b c d e f", "other words are here now", "no id at all here"
+
+
+def stays(rows):
+    """One row of each component, by comparing all fingerprints: the least id, then the least hash; no id comes last."""
+    import xxhash
+
+    prints = [simhash.fingerprint(t) for _, t, *_ in rows]
+    left, seen = [], set()
+    for i in range(len(rows)):
+        if i in seen:
+            continue
+        group, todo = {i}, [i]
+        while todo:
+            at = todo.pop()
+            near = {j for j in range(len(rows)) if (prints[j] ^ prints[at]).bit_count() <= 3} - group
+            group |= near
+            todo += near
+        seen |= group
+        left.append(min(group, key=lambda j: (rows[j][0] is None, rows[j][0] or 0, xxhash.xxh64_intdigest((rows[j][1] or "").encode(), 42))))
+    return {(rows[i][0], rows[i][1]) for i in left}
+
+
+@pytest.mark.parametrize(
+    "rows",
+    [
+        [(3, A), (1, A), (1, A), (9, B), (None, C)],
+        [(1, A), (1, B)],
+        [(3, B), (5, A), (5, B)],
+        [(None, A), (None, A), (4, A), (None, B), (None, B)],
+        [(2, None), (1, ""), (3, " ")],
+        [(7, A), (7, A), (7, B), (7, B), (7, C)],
+    ],
+)
+def test_one_of_each(spark, rows):
+    docs = spark.createDataFrame([(*r, "en", 1, 2) for r in rows], "doc_id long, text string, lang string, h int, root int")
     got = simhash.one_of_each(docs)
     assert got.columns == docs.columns
-    assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str) == sorted([(1, "a b c d e f"), (9, "other words are here now"), (None, "no id at all here")], key=str)
+    have = [(r["doc_id"], r["text"]) for r in got.collect()]
+    assert len(have) == len(set(have)) and set(have) == stays(rows)
+
+
+def test_one_of_each_of_no_rows(spark):
+    assert simhash.one_of_each(spark.createDataFrame([], "doc_id long, text string")).collect() == []
