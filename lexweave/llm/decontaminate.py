@@ -3,7 +3,9 @@
 Texts and items are compared in lower case with every run of other characters than
 letters and digits as one space. An item is cut into segments of ``SEGMENT`` characters
 that overlap by half (a shorter item is one segment); a document holds a segment if some
-region of it aligns with the segment at ``BUDGET`` or less edits a character.
+region of it aligns with the segment at ``BUDGET`` or less edits a character. Items of under ``LEAST``
+characters are too short for edits: they must stand as they are, from word edge to word edge, and
+those of under ``Q`` characters must be all of the document.
 
 1. Filter: within k edits of a segment of m characters, a region shares at least
    m + 1 - q - k * q of the segment's q-grams with it, and they lie on diagonals (place in
@@ -16,14 +18,18 @@ region of it aligns with the segment at ``BUDGET`` or less edits a character.
 Documents are never moved: the benchmark goes to them, in blocks of at most ``BLOCK``
 characters, so that what is broadcast has a bound however long the benchmark is.
 
-Edge cases: a null or empty text or item holds and matches nothing; an item of under
-``LEAST`` compared characters is too short to tell and is left out. Rows that repeat an
-id are searched each; an item that repeats with one id and text counts once. Empty tables
-give no rows.
+Segments that several items share are searched once. Postings are spread out in pieces of ``SPREAD``, so
+that a q-gram of many segments takes time but no more memory.
+
+Edge cases: a null or empty text or item holds and matches nothing. Rows that repeat an
+id are searched each; an item that repeats with one id and text counts once; items without an id
+count as one item, with a null id. A long text is searched whole, as one run. Empty tables
+give no rows. Other columns are not read, and ``without_leaks`` returns them as they are, whatever their names.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -35,10 +41,13 @@ from pyspark.sql import functions as F
 
 from lexweave.llm.common import batch_of, lean, text_chunks
 
-Q, SEGMENT, BUDGET, LEAST, BLOCK = 8, 80, 0.1, 40, 8_000_000
+Q, SEGMENT, BUDGET, LEAST, BLOCK, SPREAD = 8, 80, 0.1, 40, 8_000_000, 4_000_000
+#: Stands for items without an id.
+NO_ID = -(2**63)
 _OTHER = re.compile(r"[\W_]+")
 _CHUNK = 1 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_EDGES = (0, 32)  # the end of a compared text, and the space
 
 
 _LATIN_1 = bytes(32 if _OTHER.match(chr(c)) else c for c in range(256))
@@ -74,7 +83,10 @@ def _gram_hashes(codes: np.ndarray) -> np.ndarray:
 class Index:
     """The segments of a block of the benchmark and where their q-grams stand."""
 
-    item: np.ndarray  # of each segment
+    items: list[np.ndarray]  # of each segment
+    parts: dict[int, int]  # of each item, its segments
+    whole: dict[str, list[int]]  # items of under Q characters
+    budget: np.ndarray  # edits that each segment may take
     codes: np.ndarray  # characters of all segments, one after another
     start: np.ndarray  # of each segment in codes, and the end
     grams: np.ndarray  # distinct hashes, sorted
@@ -85,12 +97,24 @@ class Index:
 
     @staticmethod
     def build(items: list[tuple[int, str]]) -> Index:
-        owner, parts = [], []
-        for item, text in sorted({(i, c) for i, t in items if len(c := compared(t)) >= LEAST}):
+        owners: dict[tuple[str, bool], set[int]] = {}
+        whole: dict[str, list[int]] = {}
+        count: dict[int, int] = {}
+        for item, text in sorted({(i, c) for i, t in items if (c := compared(t))}):
             n = len(text)
+            if n < Q:
+                whole.setdefault(text, []).append(item)
+                count[item] = count.get(item, 0) + 1
+                continue
             starts = [0] if n <= SEGMENT else [*range(0, n - SEGMENT, SEGMENT // 2), n - SEGMENT]
-            owner += [item] * len(starts)
-            parts += [_codes(text[s : s + SEGMENT]) for s in starts]
+            for part in {(text[s : s + SEGMENT], n >= LEAST) for s in starts}:
+                known = owners.setdefault(part, set())
+                if item not in known:
+                    known.add(item)
+                    count[item] = count.get(item, 0) + 1
+        order_of = sorted(owners)
+        parts = [_codes(text) for text, _ in order_of]
+        budget = np.array([max(1, int(len(text) * BUDGET)) if edits else 0 for text, edits in order_of], np.int64)
         hashes = [_gram_hashes(p) for p in parts]
         all_hashes = np.concatenate([np.zeros(0, np.uint64), *hashes])
         segment = np.repeat(np.arange(len(parts)), [len(h) for h in hashes]) if parts else np.zeros(0, int)
@@ -101,7 +125,7 @@ class Index:
         low = np.zeros(1 << bits, bool)
         low[(grams & np.uint64((1 << bits) - 1)).astype(np.int64)] = True
         start = np.cumsum([0, *(len(p) for p in parts)])
-        return Index(np.array(owner, np.int64), np.concatenate([np.zeros(0, np.uint64), *parts]), start, grams, np.append(first, len(all_hashes)), segment[order], place[order], low)
+        return Index([np.array(sorted(owners[p]), np.int64) for p in order_of], count, whole, budget, np.concatenate([np.zeros(0, np.uint64), *parts]), start, grams, np.append(first, len(all_hashes)), segment[order], place[order], low)
 
     def lengths(self) -> np.ndarray:
         return np.diff(self.start)
@@ -149,18 +173,30 @@ def search(texts: list[str], index: Index) -> list[tuple[int, int, int, int, int
     at, found = at[same], found[same]
     if not len(at):
         return []
-    per = index.first[found + 1] - index.first[found]
-    posting = np.repeat(index.first[found] - np.cumsum(per) + per, per) + np.arange(per.sum())
-    at, segment = np.repeat(at, per), index.segment[posting]
-    diagonal = at - index.place[posting]
     lengths = index.lengths()
-    budget = np.maximum(1, (lengths * BUDGET).astype(int))
-    k = budget[segment]
-    bound = lengths + 1 - Q - budget * Q
-    band = np.concatenate([diagonal // k, diagonal // k - 1])  # a band holds two steps of k diagonals
-    both = np.concatenate([segment, segment])
+    budget = np.maximum(index.budget, 1)  # bands have a width
+    bound = lengths + 1 - Q - index.budget * Q
     span = int(len(codes) + 4 * SEGMENT)
-    keys, count = np.unique(both.astype(np.int64) * span + (band + SEGMENT + 1), return_counts=True)
+    per = index.first[found + 1] - index.first[found]
+    pieces = np.append(np.flatnonzero(np.diff((np.cumsum(per) - per) // SPREAD, prepend=-1)), len(per))
+    keys, count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for s, e in itertools.pairwise(pieces.tolist()):
+        n = per[s:e]
+        posting = np.repeat(index.first[found[s:e]] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        segment = index.segment[posting]
+        diagonal = np.repeat(at[s:e], n) - index.place[posting]
+        k = budget[segment]
+        band = np.concatenate([diagonal // k, diagonal // k - 1])  # a band holds two steps of k diagonals
+        both = np.concatenate([segment, segment])
+        new, more = np.unique(both.astype(np.int64) * span + (band + SEGMENT + 1), return_counts=True)
+        if len(keys):
+            old, keys = keys, np.union1d(keys, new)
+            sums = np.zeros(len(keys), np.int64)
+            sums[np.searchsorted(keys, old)] += count
+            sums[np.searchsorted(keys, new)] += more
+            count = sums
+        else:
+            keys, count = new, more
     seg, band = keys // span, keys % span - SEGMENT - 1
     keep = count >= np.maximum(bound[seg], 1)
     seg, band = seg[keep], band[keep]
@@ -184,8 +220,10 @@ def _verify(codes: np.ndarray, ends: np.ndarray, sizes: np.ndarray, index: Index
     pattern = np.where(np.arange(longest)[None, :] < lengths[seg][:, None], index.codes[np.minimum(places, len(index.codes) - 1)], 1)
     cost, begin, end = _align(pattern, lengths[seg], text, width)
     out = {}
-    for i in np.flatnonzero(cost <= k):
+    for i in np.flatnonzero(cost <= index.budget[seg]):
         start, stop = int(base[i] + begin[i]), int(base[i] + end[i])
+        if not index.budget[seg[i]] and not ((start <= 0 or codes[start - 1] in _EDGES) and codes[stop] in _EDGES):
+            continue  # a short item stands between word edges
         t = int(np.searchsorted(ends, max(start, 0) + (stop - max(start, 0)) // 2, side="right"))
         head = int(ends[t] - sizes[t] - 1)
         hit = (t, int(seg[i]), max(start - head, 0), min(stop - head, int(sizes[t])), int(cost[i]))
@@ -225,20 +263,25 @@ def leaks(texts: list[str | None], index: Index) -> dict[int, list[Leak]]:
     """Per text that holds benchmark segments, one entry an item; places are code points of the text."""
     found: dict[int, dict[int, list[tuple[int, int, int, int]]]] = {}
     for first, run in text_chunks(texts, _CHUNK):
-        for t, seg, start, end, edits in search([compared(x) for x in run], index):
-            found.setdefault(first + t, {}).setdefault(int(index.item[seg]), []).append((seg, start, end, edits))
+        forms = [compared(x) for x in run]
+        for t, seg, start, end, edits in search(forms, index):
+            for item in index.items[seg].tolist():
+                found.setdefault(first + t, {}).setdefault(item, []).append((seg, start, end, edits))
+        for t, form in enumerate(forms):
+            for item in index.whole.get(form, ()):
+                found.setdefault(first + t, {}).setdefault(item, []).append((-1, 0, len(form), 0))
     out: dict[int, list[Leak]] = {}
     for t, items in found.items():
         places = _place_map(texts[t] or "")
         for item, hits in sorted(items.items()):
             start, end = (int(places[min(p, len(places) - 1)]) for p in (min(h[1] for h in hits), max(h[2] for h in hits) - 1))
-            out.setdefault(t, []).append(Leak(item, start, end + 1, len({h[0] for h in hits}), int((index.item == item).sum()), min(h[3] for h in hits)))
+            out.setdefault(t, []).append(Leak(item, start, end + 1, len({h[0] for h in hits}), index.parts[item], min(h[3] for h in hits)))
     return out
 
 
 def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[Index]:
     """The benchmark's indexes, each of about BLOCK characters."""
-    rows = benchmark.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("text")).where("item_id is not null and text is not null")
+    rows = benchmark.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("item_id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(1, -(-int(total) // BLOCK))
     for i in range(n):
@@ -259,7 +302,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 ids = batch.column(0).to_pylist()
-                rows = [(ids[t], x.item_id, x.start, x.end, x.n_segments, x.of_segments, x.edits) for t, xs in sorted(leaks(batch.column(1).to_pylist(), held.value).items()) for x in xs]
+                rows = [(ids[t], None if x.item_id == NO_ID else x.item_id, x.start, x.end, x.n_segments, x.of_segments, x.edits) for t, xs in sorted(leaks(batch.column(1).to_pylist(), held.value).items()) for x in xs]
                 if rows:
                     yield batch_of(_OUT, *zip(*rows, strict=True))
 

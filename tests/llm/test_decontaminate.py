@@ -108,3 +108,29 @@ def test_odd_tables(spark):
     for bench in (none, some):
         assert d.contaminated(docs, bench).count() == 0 and d.without_leaks(docs, bench).count() == 3
     assert d.contaminated(docs.limit(0), some).count() == 0
+
+
+def test_short_items_stand_between_word_edges():
+    index = d.Index.build([(1, "Quite short item"), (2, "Tiny?"), (d.NO_ID, "another short one")])
+    assert {x.item_id for x in d.leaks(["so a QUITE, short item. yes"], index)[0]} == {1}
+    assert d.leaks(["quite short items", "unquite short item", "quite shirt item", "it is tiny here", "tiny"], index) == {4: [d.Leak(2, 0, 4, 1, 1, 0)]}
+    assert [x.item_id for x in d.leaks([f"{noise(random.Random(1), 40)} another short one"], index)[0]] == [d.NO_ID]
+
+
+def test_items_without_id(spark):
+    docs = spark.createDataFrame([(1, "say another short one now", 5), (2, "clean words", 6)], "doc_id long, text string, item_id int")
+    bench = spark.createDataFrame([(None, "Another short one")], "item_id long, text string")
+    assert [(r["doc_id"], r["item_id"]) for r in d.contaminated(docs, bench).collect()] == [(1, None)]
+    assert [tuple(r) for r in d.without_leaks(docs, bench).collect()] == [(2, "clean words", 6)]
+
+
+def test_shared_passages_and_hot_grams(monkeypatch):
+    """Items with one passage in common are all found, however few postings are spread out at a time."""
+    rng = random.Random(6)
+    shared = noise(rng, 14)
+    bench = [(i, f"{shared} {noise(rng, 20)}") for i in range(60)]
+    texts = [f"{noise(rng, 30)} {shared} {noise(rng, 30)}", bench[7][1], noise(rng, 90)]
+    want = d.leaks(texts, d.Index.build(bench))
+    assert len(want[0]) == 60 and max(want[1], key=lambda x: x.n_segments).item_id == 7 and 2 not in want
+    monkeypatch.setattr(d, "SPREAD", 50)
+    assert d.leaks(texts, d.Index.build(bench)) == want
