@@ -32,7 +32,7 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(read(spark, sf_dir, "documents"))
+    return packing.pack(read(spark, sf_dir, "documents"), tokenizer=tokenizer_path())
 
 
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

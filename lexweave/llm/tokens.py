@@ -21,7 +21,8 @@ import unicodedata
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexweave.llm.common import batch_of, lean
@@ -148,10 +149,14 @@ def counter(path: str, whole: frozenset[str] | None) -> Callable[[list[str]], li
     return count
 
 
+def proven(spark: SparkSession, path: str) -> Broadcast:
+    """The whole tokens of a file on all tasks, at most its vocabulary; None where the library must count."""
+    return spark.sparkContext.broadcast(frozenset(prove_whole_tokens(path)) if can_shortcut(path) else None)
+
+
 def count_tokens(docs: DataFrame, path: str, limit: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes (UTF-8), n_tokens, over_limit (more than limit tokens) of every row."""
-    sc = docs.sparkSession.sparkContext
-    whole = sc.broadcast(frozenset(prove_whole_tokens(path)) if can_shortcut(path) else None)  # at most the vocabulary
+    whole = proven(docs.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(path, whole.value)

@@ -77,3 +77,14 @@ def test_one_giant_length_moves_no_boundary(spark):
     best = min(padding(lengths, counts, [*s, lengths[-1]]) for s in itertools.combinations(lengths[:-1], 3))
     assert {r["bucket_len"] for r in got} <= set(lengths)
     assert sum(r["bucket_len"] - r["n_tokens"] for r in got) == best
+
+
+def test_lengths_of_a_tokenizer(spark):
+    from lexweave.llm import queries, tokens
+
+    path = queries.tokenizer_path()
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    want = {r["doc_id"]: r["n_tokens"] for r in tokens.count_tokens(docs, path).collect()}
+    rows = packing.pack(docs, tokenizer=path).collect()
+    assert {r["doc_id"]: r["n_tokens"] for r in rows} == want
+    check(rows, packing.BUCKETS, packing.BUDGET)
