@@ -3,6 +3,12 @@
 Each stage takes (spark, docs, sf_dir) and works on all that the one before kept; all but
 the last return the columns of documents. Results of stages are written as Parquet to the
 shared folder between them.
+
+Edge cases, with the results that the operators state: a null or empty text, and one of few words, fails the
+base rules and goes. Of exact or near copies one row stays, the one with the least id (rows without an id
+come last, ties go by a hash of the text), so that rows that repeat an id stay where their texts differ. Very long
+texts are worked on whole. Without labels of both kinds the base rules alone decide; without benchmark items nothing
+leaks. Other columns pass every stage but the last as they are, whatever their names. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -12,6 +18,7 @@ from pyspark.sql import functions as F
 
 from lexweave.llm import decontaminate, packing, pii, quality, simhash
 from lexweave.llm.common import fresh_dir, read
+from lexweave.llm.queries import tokenizer_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,8 +43,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def length_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each document is packed: its bucket, batch and slot."""
-    return packing.pack(docs)
+    """Where each document is packed, by its tokens: its bucket, batch and slot."""
+    return packing.pack(docs, tokenizer=tokenizer_path())
 
 
 STAGES = [
