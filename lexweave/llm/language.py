@@ -9,11 +9,14 @@ is marked as rejected: it is far from all that was learnt. It keeps its nearest
 
 The model is fitted on a bounded sample: per language the ``SAMPLE`` texts with the
 least hash of their id, whole, among rows where crc32(id as text) mod ``FOLDS`` is not 0
-and the language is known. Predictions read the text alone.
+and the language is known (of rows that repeat an id, the one with the least hash of its text). Tasks count
+the n-grams and find the centroids of a language; the driver gets document frequencies and
+centroids, 2 ** ``BITS`` numbers each, and no text. Predictions read the text alone.
 
 Edge cases: a null text, or one without letters, is ``und`` with score 0 and is rejected;
 so is every text if nothing could be learnt. Ties go to the first language in order.
-Repeated rows are predicted each for itself; an empty table gives no rows.
+Repeated rows are predicted each for itself; very long texts count whole, in pieces; an empty table gives no
+rows. Columns other than id, text and language are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,11 +25,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from lexweave.llm.common import batch_of, lean
+from lexweave.llm.common import batch_of, cut, lean
 
 SAMPLE, CENTROIDS, FOLDS, BITS, REJECT = 600, 3, 5, 14, 0.001
 UNKNOWN = "und"
@@ -103,23 +108,45 @@ def _clusters(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return centers.astype(np.float32)
 
 
+def _idf(seen: np.ndarray, n: int) -> np.ndarray:
+    return (np.log((1 + n) / (1 + seen)) + 1).astype(np.float32)
+
+
+def _centroids(counts: list[np.ndarray], idf: np.ndarray, k: int) -> tuple[np.ndarray, float]:
+    """The centroids of a language's texts, and the cosine under which a text is rejected."""
+    bare = Model([], idf, np.zeros((0, 0)), np.zeros(0, int), np.zeros(0))
+    x = np.array([bare.vector(g) for g in counts], np.float32)
+    centers = _clusters(x, k)
+    return centers, float(np.quantile((x @ centers.T).max(1), REJECT))
+
+
+def _model(found: list[tuple[str, np.ndarray, float]], idf: np.ndarray) -> Model:
+    found = sorted(found, key=lambda f: f[0])
+    owner = np.repeat(np.arange(len(found)), [len(c) for _, c, _ in found])
+    return Model([lang for lang, _, _ in found], idf, np.concatenate([c for _, c, _ in found]), owner, np.array([least for _, _, least in found]))
+
+
+NOTHING = Model([], np.zeros(0), np.zeros((0, 0)), np.zeros(0, int), np.zeros(0))
+
+
 def learn(rows: list[tuple[str, str]], k: int = CENTROIDS) -> Model:
-    """The model of (language, text) rows."""
+    """The model of (language, text) rows, without Spark."""
     counted = [(lang, g) for lang, g in ((lang, grams(text)) for lang, text in rows) if g is not None]
-    langs = sorted({lang for lang, _ in counted})
-    if not langs:
-        return Model([], np.zeros(0), np.zeros((0, 0)), np.zeros(0, int), np.zeros(0))
-    seen = np.sum([g > 0 for _, g in counted], axis=0)
-    idf = (np.log((1 + len(counted)) / (1 + seen)) + 1).astype(np.float32)
-    bare = Model(langs, idf, np.zeros((0, 0)), np.zeros(0, int), np.zeros(0))
-    centroids, owner, least = [], [], []
-    for i, lang in enumerate(langs):
-        x = np.array([bare.vector(g) for own, g in counted if own == lang], np.float32)
-        centers = _clusters(x, k)
-        centroids.append(centers)
-        owner += [i] * len(centers)
-        least.append(float(np.quantile((x @ centers.T).max(1), REJECT)))
-    return Model(langs, idf, np.concatenate(centroids), np.array(owner), np.array(least))
+    if not counted:
+        return NOTHING
+    idf = _idf(np.sum([g > 0 for _, g in counted], axis=0), len(counted))
+    return _model([(lang, *_centroids([g for own, g in counted if own == lang], idf, k)) for lang in {lang for lang, _ in counted}], idf)
+
+
+def _packed(counts: np.ndarray) -> bytes:
+    at = np.flatnonzero(counts)
+    return at.astype(np.uint16).tobytes() + counts[at].astype(np.float64).tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    n, out = len(data) // 10, np.zeros(1 << BITS)
+    out[np.frombuffer(data, np.uint16, n)] = np.frombuffer(data, np.float64, n, 2 * n)
+    return out
 
 
 def held_out(id_col: str = "doc_id"):
@@ -131,20 +158,56 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     able = slim.where(F.col("lang").isNotNull() & (F.col("lang") != UNKNOWN) & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~held_out())
     ids = able.select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
-    sizes = {r["lang"]: r["count"] for r in able.groupBy("lang").count().collect()}  # a row a language
-    chosen = None
-    for lang, n in sorted(sizes.items()):
-        own = ids.where(F.col("lang") == lang)
-        if n > 2 * bound:  # few enough hashes that tasks hand on little
-            own = own.where(F.col("h") < F.lit(int(-(2**63) + 2**64 * min(1.0, 1.5 * bound / n))))
-        own = own.orderBy("h", "doc_id").limit(bound).select("doc_id", "lang").distinct()
-        chosen = own if chosen is None else chosen.unionByName(own)
-    if chosen is None:
-        return learn([])
-    rows = able.join(F.broadcast(chosen), ["doc_id", "lang"]).dropDuplicates(["doc_id", "lang"]).orderBy("doc_id").select("lang", "text").collect()
-    return learn([(r["lang"], r["text"]) for r in rows])
+    sizes = {r["lang"]: r["n"] for r in ids.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n")).collect()}  # a row a language
+    if not sizes:
+        return NOTHING
+    # ids with a small hash, twice as many as are needed, so that tasks hand on little
+    most = {lang: -(2**63) + int(2**64 * 2.0 * bound / n) if n > 3 * bound else 2**63 - 1 for lang, n in sizes.items()}
+    limit = F.create_map(*(F.lit(x) for item in most.items() for x in item))
+    near = ids.where(F.col("h") <= limit[F.col("lang")]).distinct()
+    chosen = near.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).where(F.col("n") <= bound).select("doc_id", "lang")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [grams(t) for t in batch.column(2).to_pylist()]
+            rows = [(d, lang, h, _packed(g)) for d, lang, h, g in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3)), found, strict=True) if g is not None]
+            if rows:
+                yield batch_of(_COUNTED, *zip(*rows, strict=True))
 
+    texts = able.join(F.broadcast(chosen), ["doc_id", "lang"]).select("doc_id", "lang", "text", F.xxhash64("text").alias("h"))  # at most bound ids a language
+    counted = texts.mapInArrow(lean(count), "doc_id long, lang string, h long, grams binary")
+    counted = cut(counted.groupBy("doc_id", "lang").agg(F.min_by("grams", F.struct("h", "grams")).alias("grams")))
 
+    def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, n = np.zeros(1 << BITS, np.int64), 0
+        for batch in batches:
+            for data in batch.column(0).to_pylist():
+                total += _unpacked(data) > 0
+                n += 1
+        if n:
+            at = np.flatnonzero(total)
+            yield batch_of(_SEEN, [-1, *at], [n, *total[at]])
+
+    sums = {r["gram"]: r["n"] for r in counted.select("grams").mapInArrow(lean(seen), "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()}
+    if not sums:
+        return NOTHING
+    n, frequency = sums.pop(-1), np.zeros(1 << BITS, np.int64)
+    frequency[list(sums)] = list(sums.values())
+    idf = _idf(frequency, n)
+
+    def centers(pdf: pd.DataFrame) -> pd.DataFrame:
+        own, least = _centroids([_unpacked(g) for g in pdf.sort_values("doc_id")["grams"]], idf, CENTROIDS)
+        return pd.DataFrame({"lang": pdf["lang"].iloc[0], "centroid": [c.tobytes() for c in own], "least": least, "nr": range(len(own))})
+
+    rows = counted.groupBy("lang").applyInPandas(centers, "lang string, centroid binary, least double, nr int").orderBy("lang", "nr").collect()
+    found = {}
+    for r in rows:
+        found.setdefault((r["lang"], r["least"]), []).append(np.frombuffer(r["centroid"], np.float32))
+    return _model([(lang, np.array(c), least) for (lang, least), c in found.items()], idf)
+
+
+_COUNTED = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("h", pa.int64()), ("grams", pa.binary())])
+_SEEN = pa.schema([("gram", pa.int32()), ("n", pa.int64())])
 _OUT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())])
 
 

@@ -2,6 +2,10 @@
 
 import zlib
 
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
 from lexweave.llm import language
 
 
@@ -51,9 +55,35 @@ def test_nothing_to_learn(spark):
 
 
 def test_clusters_split():
-    import numpy as np
-
     x = np.array([[1, 0.1], [1, 0.0], [0.1, 1], [0, 1]], np.float32)
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     centers = language._clusters(x, 2)
     assert (x @ centers.T).argmax(1).tolist() in ([0, 0, 1, 1], [1, 1, 0, 0])
+
+
+def test_fit_is_that_of_plain_rows(spark):
+    """The distributed fit against learn() over the same sample, and predictions of whole tables against plain cosines."""
+    rows = [(i, t, "en" if i % 2 else "de") for i, t in enumerate(["the cat and the dog", "der Hund und die Katze", "a cat is there", "eine Katze ist da"] * 30)]
+    rows = [(i, f"{t} {i % 7} {'x' * (i % 5)}", lang) for i, t, lang in rows] + [(3, "another text with the id", "en"), (None, "no id", "en"), (5, None, "en"), (8, "123", "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("h", F.lit("x"))
+    h = {(r["doc_id"], r["text"]): (r["a"], r["b"], r["out"]) for r in docs.selectExpr("doc_id", "text", "xxhash64(doc_id) as a", "xxhash64(text) as b", "coalesce(crc32(cast(doc_id as string)) % 5 = 0, false) as out").collect()}
+    picked = []
+    for lang in ("de", "en"):
+        able = [(i, t) for i, t, own in rows if own == lang and i is not None and t is not None and not h[i, t][2]]
+        for i in sorted(sorted({i for i, _ in able}, key=lambda i: h[i, next(t for j, t in able if j == i)][0])[:20]):
+            texts = [t for j, t in able if j == i and language.grams(t) is not None]
+            if texts:
+                picked.append((lang, min(texts, key=lambda t: h[i, t][1])))
+    want, got = language.learn(picked), language.fit(docs, bound=20)
+    assert got.languages == want.languages and np.allclose(got.idf, want.idf) and np.allclose(got.centroids, want.centroids, atol=1e-6) and np.allclose(got.least, want.least, atol=1e-6)
+    text = {i: t for i, t, _ in rows}
+    for r in language.identify(docs.where("doc_id <> 3"), got).collect():  # id 3 has two texts
+        counts = language.grams(text[r["doc_id"]])
+        if counts is None:
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+            continue
+        v = np.sqrt(counts) * got.idf
+        cosines = [float(c @ v / np.linalg.norm(v)) for c in got.centroids]
+        best = max(cosines)
+        assert r["score"] == pytest.approx(best, abs=1e-4)
+        assert max(c for c, o in zip(cosines, got.owner, strict=True) if got.languages[o] == r["lang_pred"]) == pytest.approx(best, abs=1e-4)
