@@ -21,6 +21,7 @@ SYSTEMATIC_SHARE, SYSTEMATIC_LEAST = 0.8, 3
 COSTS = {"false_positive": 1.0, "false_negative": 3.0}
 GATES = {"reference_precision_min": (">=", 0.90), "wrongly_resolved_unresolvables_max": ("<=", 0.0), "structural_violations_unexplained_max": ("<=", 0.0), "detection_recall_min": (">=", 0.95), "stratified_audit_agreement_min": (">=", 0.90)}
 CAP, OVERCONFIDENT, OUTLINE_AGREE, DUPLICATE = 25, 0.10, 85.0, 90.0
+ROUND_TRIP, NEAR_KEY = 0.9, 0.9
 
 
 def rate(count: Column | str, of: Column | str) -> Column:
@@ -111,6 +112,36 @@ def geometry_checks(nodes: DataFrame) -> list[DataFrame]:
     ]
 
 
+def box_round_trip(nodes: DataFrame, words: DataFrame, agree: float = ROUND_TRIP) -> DataFrame:
+    """(path, status, similarity): whether a node's text is what stands in its own boxes.
+
+    words (page, x0, y0, x1, y1, text) lie in a box that holds their centre; they are read in lines of
+    rounded tops from left to right. A node with a box on a page without words cannot be told.
+    """
+    from lexweave.functions.fuzzy import similarity
+
+    own = nodes.where("text is not null and size(bboxes_own) > 0").select("path", "text", F.posexplode("bboxes_own").alias("nr", "b")).select("path", "text", "nr", F.col("b.page").alias("page"), *(F.col(f"b.{c}").alias(f"b{c}") for c in ("x0", "y0", "x1", "y1")))
+    pages = words.select("page").distinct().withColumn("known", F.lit(True))
+    mid = words.select("page", F.col("text").alias("word"), ((F.col("x0") + F.col("x1")) / 2).alias("cx"), ((F.col("y0") + F.col("y1")) / 2).alias("cy"), F.round("y0").alias("top"), "x0")
+    inside = F.col("cx").between(F.col("bx0"), F.col("bx1")) & F.col("cy").between(F.col("by0"), F.col("by1"))
+    hit = own.join(mid, "page").where(inside).groupBy("path").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("nr", "top", "x0", "word"))), lambda w: w["word"]), " ").alias("got"))
+    lost = own.join(pages, "page", "left_anti").select("path").distinct().withColumn("lost", F.lit(True))
+    rows = own.select("path", "text").distinct().join(hit, "path", "left").join(lost, "path", "left")
+    score = F.round(similarity(F.coalesce("got", F.lit("")), tx.collapse("text")) / 100, 4)
+    rows = rows.withColumn("similarity", F.when(F.col("lost").isNull(), score))
+    return rows.select("path", F.when(F.col("lost"), "no_such_page").when(F.col("similarity") >= agree, "agrees").otherwise("differs").alias("status"), "similarity")
+
+
+def legislation_routing(refs: DataFrame, near: float = NEAR_KEY) -> tuple[DataFrame, DataFrame]:
+    """(references, keys, routed, share) of references to statutes, and the pairs of keys that may be misspellings."""
+    from lexweave.operators.resolution import near_miss_keys
+
+    own = refs.where("ref_kind = 'legislation'")
+    t = own.agg(F.count("*").alias("references"), F.count_distinct("target_path").alias("keys"), F.count_if(F.col("resolver").isin("llm", "human")).alias("routed"))
+    pairs = near_miss_keys(own.where("target_path is not null").select(F.col("target_path").alias("key")).distinct(), near)
+    return t.withColumn("share", rate("routed", "references")), pairs
+
+
 def ref_span_integrity(refs: DataFrame, nodes: DataFrame) -> DataFrame:
     parents = nodes.select(F.col("path").alias("parent_path"), F.coalesce("text", "title").alias("own"))
     both = refs.join(parents, "parent_path", "left")

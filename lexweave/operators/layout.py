@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -73,18 +72,19 @@ def slugged(title: Column | str) -> Column:
     return F.trim(F.regexp_replace(F.lower(c), "[^a-z0-9]+", "-"), F.lit("-"))
 
 
-def detect_parts(signatures: DataFrame) -> DataFrame:
+def detect_parts(signatures: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """(part_id, title, page_start, page_end, version): runs of pages with one title; no title continues, repeats get -2.
 
-    Pages of one document are ordered by one window over their signatures, a short row a page.
+    keys tell documents apart; the pages of a document are ordered by a window over their signatures, a short
+    row a page.
     """
-    order = Window.partitionBy(F.lit(0)).orderBy("page")
+    order = Window.partitionBy(*(keys or (F.lit(0),))).orderBy("page")
     filled = signatures.withColumn("t", F.last("title", True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
     isle = filled.withColumn("new", F.coalesce(~F.col("t").eqNullSafe(F.lag("t").over(order)), F.lit(True)).cast("int")).withColumn("isle", F.sum("new").over(order))
-    runs = isle.where("t is not null").groupBy("isle").agg(F.first("t").alias("title"), F.min("page").alias("page_start"), F.max("page").alias("page_end"), F.min(F.coalesce("header_version", "model_version")).alias("raw"), (F.count_distinct("header_version") > 1).alias("version_change"))
+    runs = isle.where("t is not null").groupBy(*keys, "isle").agg(F.first("t").alias("title"), F.min("page").alias("page_start"), F.max("page").alias("page_end"), F.min(F.coalesce("header_version", "model_version")).alias("raw"), (F.count_distinct("header_version") > 1).alias("version_change"))
     slug = slugged("title")
-    n = F.row_number().over(Window.partitionBy("slug").orderBy("page_start"))
-    return runs.withColumn("slug", slug).withColumn("n", n).select(F.when(F.col("n") == 1, F.col("slug")).otherwise(F.concat_ws("-", "slug", "n")).alias("part_id"), "title", family_of(F.col("title")).alias("family"), "page_start", "page_end", version_key("raw").alias("template_version"), "version_change")
+    n = F.row_number().over(Window.partitionBy(*keys, "slug").orderBy("page_start"))
+    return runs.withColumn("slug", slug).withColumn("n", n).select(*keys, F.when(F.col("n") == 1, F.col("slug")).otherwise(F.concat_ws("-", "slug", "n")).alias("part_id"), "title", family_of(F.col("title")).alias("family"), "page_start", "page_end", version_key("raw").alias("template_version"), "version_change")
 
 
 def family_of(title: Column) -> Column:
@@ -341,8 +341,3 @@ def token_boxes(words: DataFrame, lines: DataFrame) -> DataFrame:
     l = lines.select("page", "line_no", "token", F.col("y0").alias("top"), F.col("y1").alias("bottom"))
     hit = l.join(w, ["page", "token"]).where("box.y0 < bottom and top < box.y1")
     return hit.groupBy("page", "line_no", "token").agg(F.min("box").alias("box")).select("page", "line_no", "token", "box.*")
-
-
-def scan_pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Where a reader of page files would stand: none is installed, so the table of lines is the source."""
-    raise NotImplementedError("no page-file library is available: start from the table of lines")

@@ -92,6 +92,27 @@ def cite(g: Graph, path: str) -> DataFrame:
     return g.nodes.where((F.col("path") == path) & F.col("citable")).select("path", box["page"].alias("page"), box.alias("box"))
 
 
+BOX = "struct<page:int,bbox:array<double>>"
+
+
+def decoded_boxes(own: Column, extent: Column, page: Column) -> Column:
+    """The boxes (page, bbox) of texts in any stored form: a JSON list of boxes, a JSON list of JSON texts, or one flat box.
+
+    The first of own and extent boxes that gives any counts; a flat box of four numbers takes the given page.
+    """
+
+    def decode(raw: Column) -> Column:
+        whole = lambda boxes: F.filter(boxes, lambda b: b.isNotNull() & b["bbox"].isNotNull())
+        listed = whole(F.from_json(raw, f"array<{BOX}>"))
+        texts = whole(F.transform(F.from_json(raw, "array<string>"), lambda t: F.from_json(t, BOX)))
+        flat = F.from_json(raw, "array<double>")
+        one = F.when((F.size(flat) == 4) & F.forall(flat, lambda v: v.isNotNull()) & page.isNotNull(), F.array(F.struct(page.cast("int").alias("page"), flat.alias("bbox"))))
+        some = lambda boxes: F.when(F.size(boxes) > 0, boxes)
+        return F.coalesce(some(listed), some(texts), one)
+
+    return F.coalesce(decode(own), decode(extent), F.array().cast(f"array<{BOX}>"))
+
+
 def verify_citations(answers: DataFrame, facts: DataFrame) -> DataFrame:
     """(answer_id, path, page, status): tags [[path|page]] of texts against the (path, page) pairs that were returned."""
     tags = answers.select("answer_id", F.explode(F.regexp_extract_all("text", F.lit(r"\[\[[^\]|]+\|[^\]]*\]\]"), F.lit(0))).alias("tag"))
