@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lexweave.operators import evaluation, layout, resolution
+from lexweave.operators import detection, evaluation, layout, resolution
 from lexweave.plans.catalog import query, table
 from lexweave.streaming import events as streams
 
@@ -35,14 +35,15 @@ def asof_cue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH s AS (SELECT c_nationkey AS k, min(o_orderdate) AS s, max(o_orderdate) AS e FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderkey % 97 = c_nationkey GROUP BY 1)
-SELECT a.k AS a, b.k AS b FROM s a JOIN s b ON a.k < b.k AND a.s < b.e AND b.s < a.e
+WITH s AS (SELECT l_orderkey, l_linenumber AS n, epoch(l_shipdate) // 86400 AS s, epoch(l_shipdate) // 86400 + CAST(l_quantity AS BIGINT) AS e FROM lineitem)
+SELECT a.l_orderkey, a.n AS a, b.n AS b, count(*) AS n FROM s a JOIN s b USING (l_orderkey) WHERE a.n < b.n AND a.s < b.e AND b.s < a.e GROUP BY 1, 2, 3
 """)
 def interval_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).where("o_orderkey % 97 = c_nationkey")
-    spans = rows.groupBy(F.col("c_nationkey").alias("k")).agg(F.min("o_orderdate").alias("s"), F.max("o_orderdate").alias("e"))
-    a, b = (spans.select(F.col("k").alias(n), F.col("s").alias(f"s{n}"), F.col("e").alias(f"e{n}")) for n in "ab")
-    return a.join(F.broadcast(b), (F.col("a") < F.col("b")) & (F.col("sa") < F.col("eb")) & (F.col("sb") < F.col("ea"))).select("a", "b")  # a row a nation
+    """Lines of an order whose spans of days, as long as their quantity, have a day in common."""
+    day = F.floor(F.col("l_shipdate").cast("timestamp").cast("long") / 86400)
+    spans = table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_linenumber").alias("n"), day.alias("s"), (day + F.col("l_quantity").cast("long")).alias("e"))
+    a, b = (spans.select("l_orderkey", F.col("n").alias(x), F.col("s").alias(f"s{x}"), F.col("e").alias(f"e{x}")) for x in "ab")
+    return a.join(b, "l_orderkey").where((F.col("a") < F.col("b")) & detection.overlaps("sa", "ea", "sb", "eb")).groupBy("l_orderkey", "a", "b").agg(F.count("*").alias("n"))
 
 
 @query("SELECT p_partkey, CASE WHEN p_retailprice >= lo AND p_retailprice < hi THEN band END AS band FROM part, (SELECT i AS band, 900.0 + 50 * i AS lo, 950.0 + 50 * i AS hi FROM range(0, 40) t(i)) WHERE p_retailprice >= lo AND p_retailprice < hi")

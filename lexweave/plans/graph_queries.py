@@ -45,12 +45,12 @@ def furniture_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.where((F.col("n") >= graph.REPEATS) & (F.col("parts") >= graph.PARTS))
 
 
-_NORMAL = "regexp_replace(array_to_string([trim(regexp_replace(x, '[ \\t\\x0B\\f\\r]+', ' ', 'g')) FOR x IN string_split(text, chr(10))], chr(10)), '^\\s+|\\s+$', '', 'g')"
+_NORMAL = "regexp_replace(array_to_string([trim(regexp_replace(x, '[ \\t\\x0B\\f\\r]+', ' ', 'g')) FOR x IN string_split(nfc_normalize(text), chr(10))], chr(10)), '^\\s+|\\s+$', '', 'g')"
 
 
 @query(f"SELECT sha1({_NORMAL}) AS content_hash, count(*) AS n, min(doc_id) AS first_id FROM documents GROUP BY 1 HAVING count(*) > 1")
 def content_hash_dupes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents").select("doc_id", ids.content_hash("text", normalise=False).alias("content_hash"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", ids.content_hash("text").alias("content_hash"))
     return rows.groupBy("content_hash").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id")).where("n > 1")
 
 

@@ -85,18 +85,20 @@ def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH s AS (SELECT 'p' || (turn % 4) AS t, conv_id, turn FROM conversations WHERE conv_id < 60),
-     o AS (SELECT *, CASE WHEN t IS DISTINCT FROM lag(t) OVER (ORDER BY conv_id, turn) THEN 1 ELSE 0 END AS new, CAST(row_number() OVER (ORDER BY conv_id, turn) AS INTEGER) AS page FROM s),
-     i AS (SELECT *, sum(new) OVER (ORDER BY page) AS isle FROM o), r AS (SELECT t, min(page) AS page_start, max(page) AS page_end FROM i GROUP BY isle, t)
-SELECT CASE WHEN n = 1 THEN t ELSE t || '-' || n END AS part_id, page_start, page_end FROM (SELECT *, row_number() OVER (PARTITION BY t ORDER BY page_start) AS n FROM r)
+WITH s AS (SELECT conv_id, turn, 'p' || (turn // 2 % 3) AS t FROM conversations),
+     o AS (SELECT conv_id, t, CAST(row_number() OVER w AS INTEGER) AS page, CASE WHEN t IS DISTINCT FROM lag(t) OVER w THEN 1 ELSE 0 END AS new FROM s WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+     i AS (SELECT *, sum(new) OVER (PARTITION BY conv_id ORDER BY page) AS isle FROM o), r AS (SELECT conv_id, t, min(page) AS page_start, max(page) AS page_end FROM i GROUP BY conv_id, isle, t)
+SELECT conv_id, CASE WHEN n = 1 THEN t ELSE t || '-' || n END AS part_id, page_start, page_end FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, t ORDER BY page_start) AS n FROM r)
 """)
 def page_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each conversation is a document, each turn a page."""
     from pyspark.sql.window import Window
 
-    c = table(spark, sf_dir, "conversations").where("conv_id < 60")  # the pages of one document
     none = F.lit(None).cast("string")
-    pages = c.select(F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("conv_id", "turn")).alias("page"), F.concat(F.lit("p"), (F.col("turn") % 4).cast("string")).alias("title"), none.alias("header_version"), none.alias("model_version"))
-    return layout.detect_parts(pages).select("part_id", "page_start", "page_end")
+    page = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn"))
+    title = F.concat(F.lit("p"), (F.floor(F.col("turn") / 2) % 3).cast("string"))
+    pages = table(spark, sf_dir, "conversations").select("conv_id", page.alias("page"), title.alias("title"), none.alias("header_version"), none.alias("model_version"))
+    return layout.detect_parts(pages, ("conv_id",)).select("conv_id", "part_id", "page_start", "page_end")
 
 
 @query("""

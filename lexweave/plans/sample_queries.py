@@ -7,10 +7,22 @@ from pyspark.sql import functions as F
 
 from lexweave.operators import detection, embeddings, evaluation, graph, layout, resolution, tools, tree, vocabulary
 from lexweave.operators.concepts import shared_folder
+from lexweave.plans import sample_expected as expected
 from lexweave.plans.catalog import query
 from lexweave.sources import samples
 
 
+def _rows(table: tuple[list[tuple[str, str]], list[tuple]]) -> str:
+    """SQL for fixed rows."""
+
+    def one(v: object) -> str:
+        return "NULL" if v is None else "'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v).lower() if isinstance(v, bool) else repr(v)
+
+    columns, rows = table
+    typed = ", ".join(f'CAST("{c}" AS {t}) AS "{c}"' for c, t in columns)
+    return f"SELECT {typed} FROM (VALUES {', '.join('(' + ', '.join(map(one, r)) + ')' for r in rows)}) t({', '.join(f'\"{c}\"' for c, _ in columns)})"
+
+
 def _cut(df: DataFrame) -> DataFrame:
     shared_folder(df.sparkSession)
     return df.checkpoint()
@@ -34,7 +46,7 @@ def sample_graph(spark: SparkSession) -> tools.Graph:
     return tools.Graph(nodes, refs, sites, _cut(vocabulary.term_uses(nodes, sites)), concepts)
 
 
-@query()
+@query(_rows(expected.REFERENCES))
 def sample_references(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _references(spark)[1].select("path", "text", "ref_kind", "status", "scope_rule", "target_path", "resolver")
 
@@ -44,7 +56,7 @@ def sample_status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _references(spark)[1].groupBy("status").agg(F.count("*").alias("n"))
 
 
-@query()
+@query(_rows(expected.ORPHANS))
 def sample_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detection.orphan_keywords(samples.nodes(spark))
 
@@ -54,7 +66,7 @@ def sample_definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sites(samples.nodes(spark)).select("term", "source")
 
 
-@query()
+@query(_rows(expected.TERM_USES))
 def sample_term_uses(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes = samples.nodes(spark)
     return vocabulary.term_uses(nodes, _sites(nodes)).select("term", "path", "field", "surface", "status", "ambiguity_kind")
@@ -65,29 +77,34 @@ def sample_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree.kind_counts(samples.nodes(spark)).groupBy("part").agg(F.sum("n").cast("int").alias("n"))
 
 
-@query()
+@query(_rows(expected.NAMES))
 def sample_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree.human_names(tree.unit_labels(samples.nodes(spark)))
 
 
-@query()
+@query(_rows(expected.CHECKS))
 def sample_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes = samples.nodes(spark)
-    return evaluation.claimed(evaluation.check_tree(nodes), nodes)
+    return evaluation.claimed(evaluation.check_tree(nodes), nodes).select("check", "path", "against", "explained_by")
 
 
-@query()
+@query(_rows(expected.EMBEDDING_PLAN))
 def sample_embedding_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return embeddings.plan(samples.nodes(spark)).select("path", "level", "text")
+    return embeddings.plan(samples.nodes(spark)).select("path", "level")
 
 
-@query()
+@query("""
+SELECT * FROM (VALUES ('call-off-schedule-9/b/annex-1', 1, 1, 0.693147), ('call-off-schedule-9/a/3/3.4', 2, 2, 2.197225), ('call-off-schedule-9/b/3/3.4', 1, 1, 0.693147), ('core-terms/1/1.2', 1, 1, 0.693147), ('joint-schedule-1', 1, 1, 0.693147),
+ ('core-terms/2/2.1/a', 1, 1, 0.693147), ('core-terms/2/2.1', 1, 1, 0.693147), ('core-terms/2/2.3', 1, 1, 0.693147), ('call-off-schedule-9', 1, 1, 0.693147)) t(path, frequency, breadth, salience)
+""")
 def sample_salience(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The provisions that others cite; all else has no salience."""
     nodes, refs = _references(spark)
-    return graph.node_salience(nodes, refs)
+    rows = graph.node_salience(nodes, refs).where("frequency > 0 or salience > 0 or flagged")
+    return rows.join(nodes.select(F.col("id").alias("target"), "path"), "target").select("path", F.col("frequency").cast("int").alias("frequency"), F.col("breadth").cast("int").alias("breadth"), F.col("salience").cast("decimal(7,6)").alias("salience"))
 
 
-@query()
+@query(_rows(expected.EDGES))
 def sample_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes, refs = _references(spark)
     edges = graph.contains_edges(nodes).unionByName(graph.next_edges(nodes)).unionByName(graph.resolves_edges(refs, nodes)).unionByName(graph.candidate_edges(refs, nodes))
@@ -100,22 +117,22 @@ def sample_layout_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.detect_parts(layout.page_signatures(split)).select("part_id", "page_start", "page_end")
 
 
-@query()
+@query(_rows(expected.BLOCKS))
 def sample_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = layout.split_furniture(samples.lines(spark), samples.pages(spark)).where("not is_furniture").select(*samples.lines(spark).columns)
     return tree.build(layout.build_blocks(split)).drop("anomalies")
 
 
-@query()
+@query(_rows(expected.FIND))
 def sample_find(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tools.find_provision(sample_graph(spark), "withhold charges")
 
 
-@query()
+@query(_rows(expected.DEFINE))
 def sample_define(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tools.define(sample_graph(spark), "KPI").select("term", "scope", "path", "gap", F.array_join("governs", ",").alias("governs"))
 
 
-@query()
+@query(_rows(expected.REVIEW))
 def sample_review(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tools.review_queue(sample_graph(spark))
+    return tools.review_queue(sample_graph(spark)).select("kind", "part", "page", "id", "question")

@@ -70,11 +70,12 @@ def identities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT item_id, CASE WHEN n <= 1 THEN '1' WHEN n = 2 THEN '2' ELSE '3+' END AS words, CASE WHEN item_id / greatest(39 - 1, 1) < 1/3 THEN 'early' WHEN item_id / greatest(39 - 1, 1) < 2/3 THEN 'middle' ELSE 'late' END AS position
-FROM (SELECT item_id, len(list_filter(string_split_regex(trim(text), '\\s+'), lambda w: w <> '')) AS n FROM benchmark)
+SELECT item_id, CASE WHEN n <= 1 THEN '1' WHEN n = 2 THEN '2' ELSE '3+' END AS words, CASE WHEN item_id / greatest(total - 1, 1) < 1/3 THEN 'early' WHEN item_id / greatest(total - 1, 1) < 2/3 THEN 'middle' ELSE 'late' END AS position
+FROM (SELECT item_id, len(list_filter(string_split_regex(trim(text), '\\s+'), lambda w: w <> '')) AS n, count(*) OVER () AS total FROM benchmark)
 """)
 def buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "benchmark").select("item_id", tx.word_count_bucket("text").alias("words"), tx.position_bucket("item_id", F.lit(39)).alias("position"))
+    items = table(spark, sf_dir, "benchmark")
+    return items.select("item_id", tx.word_count_bucket("text").alias("words"), tx.position_bucket("item_id", F.lit(items.count())).alias("position"))
 
 
 @query("SELECT conv_id, turn, CASE WHEN length(text) > 60 THEN substr(text, 1, 60) || ' […truncated]' ELSE text END AS clipped FROM conversations")
@@ -95,11 +96,14 @@ def initials(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", tx.initials("p_name").alias("initials"))
 
 
-@query("""
-SELECT item_id, CAST(list_sum([CASE WHEN regexp_full_match(p, '[A-Za-z0-9]+') THEN ceil(length(p) / 4) ELSE 1 END FOR p IN regexp_extract_all(text, '\\w+|[^\\w\\s]')]) AS BIGINT) AS tokens FROM benchmark WHERE regexp_full_match(text, '[\\x00-\\x7f]*')
+_UNICODE_WORD = r"\p{L}\p{M}\p{Nd}\p{Nl}"
+
+
+@query(f"""
+SELECT item_id, CAST(list_sum([CASE WHEN regexp_full_match(p, '[{_UNICODE_WORD}]+') THEN ceil(length(p) / 4) ELSE 1 END FOR p IN regexp_extract_all(text, '[{_UNICODE_WORD}_]+|[^{_UNICODE_WORD}_\\s]')]) AS BIGINT) AS tokens FROM benchmark
 """)
 def estimated_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "benchmark").where(F.col("text").rlike(r"^[\x00-\x7f]*$")).select("item_id", tx.estimated_tokens("text").alias("tokens"))
+    return table(spark, sf_dir, "benchmark").select("item_id", tx.estimated_tokens("text").alias("tokens"))
 
 
 @query("SELECT item_id, CAST(len(list_filter(string_split_regex(regexp_replace(text, '([.;:!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda s: s <> '')) AS INTEGER) AS n FROM benchmark")
