@@ -11,7 +11,7 @@ text, the classes that a value backs off to: its kind, and personal data as a wh
 * An entity e has information IC(e) = -log2 p(e), and a term t tells PMI(t; e) =
   log2(p(t, e) / (p(t) p(e))) of it. The disclosure PMI / IC is 1 for a term that stands nowhere
   but by the entity. It shrinks by n / (n + prior): n is the number of texts that hold both, and
-  the prior ``PRIOR``; for a class n is the number of different sets of values in these texts, so that near
+  the prior ``PRIOR``; for a class all texts with the same values count as one, an equal share each, so that near
   copies of one text are one proof, and the prior is ``CLASS_PRIOR``, as rare words meet a class by chance.
   No pair is left out for its number, though one text alone stays below any threshold over 2 / 3.
 * A term is generalised everywhere in the texts that hold the entity from a disclosure of
@@ -160,12 +160,16 @@ def _disclosure(both: Column, support: Column, n_term: Column, n_entity: Column,
 def protected(base: DataFrame) -> DataFrame:
     """(h, entity, is_class, proof) of the values in every text, of their kinds, and of personal data as such.
 
-    A class is proven once by all texts with the same values.
+    proof is what the text counts as evidence: one for a value, and for a class an equal share of one among all
+    texts with the same values.
     """
     some = base.where("size(entities) > 0").select("h", "entities").distinct()
-    values = some.select("h", F.explode("entities").alias("entity"), F.lit(False).alias("is_class"), F.col("h").alias("proof"))
+    values = some.select("h", F.explode("entities").alias("entity"), F.lit(False).alias("is_class"), F.lit(1.0).alias("proof"))
     kinds = F.array_union(F.array_distinct(F.transform("entities", lambda e: F.split_part(e, F.lit(":"), F.lit(1)))), F.array(F.lit(ANY)))
-    return values.unionByName(some.select("h", F.explode(kinds).alias("entity"), F.lit(True).alias("is_class"), F.xxhash64(F.array_sort("entities")).alias("proof")))
+    signed = some.select("h", kinds.alias("kinds"), F.xxhash64(F.array_sort("entities")).alias("s"))
+    alike = _written(signed.groupBy("s").agg(F.count("*").alias("n")).where("n > 1"), "pii-alike")
+    classes = signed.join(alike, "s", "left").select("h", F.explode("kinds").alias("entity"), F.lit(True).alias("is_class"), (F.lit(1.0) / F.coalesce("n", F.lit(1))).alias("proof"))
+    return values.unionByName(classes)
 
 
 def telling_terms(rows: DataFrame, base: DataFrame, generalise: float = GENERALISE) -> tuple[DataFrame, DataFrame]:
@@ -173,27 +177,32 @@ def telling_terms(rows: DataFrame, base: DataFrame, generalise: float = GENERALI
     counts = base.groupBy("h").agg(F.count("*").alias("copies"))
     n = max(1, counts.count())
     copies = _written(counts.where("copies > 1"), "pii-copies")
-    held = protected(base)
-    n_entity = held.groupBy("entity").agg(F.count("*").alias("n_entity"), F.first("is_class").alias("c"))
     # the greatest disclosure that the counts allow: as many texts hold both as hold the rarer one
     within = lambda n_term, n_entity, c: _disclosure(F.least(n_term, n_entity).cast("double"), F.least(n_term, n_entity), n_term, n_entity, c, n) >= generalise
-    held = cut(held.join(n_entity.where(within(F.col("n_entity"), F.col("n_entity"), F.col("c"))).drop("c"), "entity"))
-    best = held.agg(F.max("n_entity")).first()[0] or 1
+    both = cut(protected(base))
+    values, classes = both.where("not is_class"), both.where("is_class")
+    n_value = _written(values.groupBy("entity").agg(F.count("*").alias("n_entity")).where(within(F.col("n_entity"), F.col("n_entity"), F.lit(False))), "pii-values")
+    n_class = {r["entity"]: r["count"] for r in classes.groupBy("entity").count().collect()}  # a row a kind
+    sizes = F.create_map(*(F.lit(x) for item in n_class.items() for x in item)) if n_class else F.lit(None).cast("map<string,bigint>")
+    held = cut(values.join(n_value, "entity").unionByName(classes.withColumn("n_entity", sizes[F.col("entity")]).where(within(F.col("n_entity"), F.col("n_entity"), F.lit(True)))))
+    best = {False: n_value.agg(F.max("n_entity")).first()[0] or 0, True: max(n_class.values(), default=0)}
     holders = _written(held.select("h").distinct(), "pii-holders")
     # each copy of a text counts its share of one
     share = F.lit(1.0) / F.coalesce("copies", F.lit(1))
     n_term = rows.join(copies, "h", "left").select(_terms("text"), share.alias("share")).groupBy("term").agg(F.round(F.sum("share")).cast("long").alias("n_term"))
-    n_term = n_term.where(within(F.col("n_term"), F.lit(best), F.lit(False)) | (F.col("n_term") <= best))
+    able = [within(F.col("n_term"), F.lit(top), F.lit(c)) | (F.col("n_term") <= top) & within(F.col("n_term"), F.col("n_term"), F.lit(c)) for c, top in best.items() if top]
+    n_term = n_term.where(able[0] | able[-1] if able else F.lit(False))
     texts = cut(rows.join(holders, "h", "left_semi").groupBy("h").agg(F.first("text").alias("text")))
     spans = texts.withColumn("spans", base_spans("text"))
     bare = spans.select("h", F.expr(_rebuilt("text", "array_sort(transform(spans, s -> struct(s.start as start, s.end as end)))", "' '", "''")).alias("text"))
-    words = bare.select("h", _terms("text")).join(n_term, "term")
-    pairs = cut(words.join(held, "h").where(within(F.col("n_term"), F.col("n_entity"), F.col("is_class"))))
-    both = pairs.groupBy("entity", "term").agg(
-        F.count("*").cast("double").alias("both"), F.count_distinct("proof").alias("support"), F.first("n_term").alias("n_term"), F.first("n_entity").alias("n_entity"), F.first("is_class").alias("is_class")
+    words = bare.select("h", _terms("text"))
+    met = words.join(n_term, "term").join(held, "h").where(within(F.col("n_term"), F.col("n_entity"), F.col("is_class")))
+    joint = met.groupBy("entity", "term").agg(
+        F.count("*").cast("double").alias("both"), F.round(F.sum("proof"), 9).alias("support"), F.first("n_term").alias("n_term"), F.first("n_entity").alias("n_entity"), F.first("is_class").alias("is_class")
     )
-    told = both.withColumn("disclosure", _disclosure(F.col("both"), F.col("support"), F.col("n_term"), F.col("n_entity"), F.col("is_class"), n)).where(F.col("disclosure") >= generalise)
-    return pairs.join(told.select("entity", "term", "disclosure"), ["entity", "term"]).groupBy("h", "term").agg(F.max("disclosure").alias("disclosure")), texts
+    told = joint.withColumn("disclosure", _disclosure(F.col("both"), F.col("support"), F.col("n_term"), F.col("n_entity"), F.col("is_class"), n)).where(F.col("disclosure") >= generalise)
+    told = _written(told.select("entity", "term", "disclosure"), "pii-told")
+    return words.join(told, "term").join(held.select("h", "entity"), ["h", "entity"]).groupBy("h", "term").agg(F.max("disclosure").alias("disclosure")), texts
 
 
 def term_spans(docs: DataFrame, base: DataFrame, text_col: str = "text", generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:

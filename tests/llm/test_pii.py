@@ -129,6 +129,7 @@ def brute_terms(texts, generalise, remove):
     """Per text the spans of its telling terms, by counting everything in dictionaries."""
     texts = set(texts)
     n, n_term, n_entity, both, proofs = len(texts), Counter(), Counter(), Counter(), {}
+    alike = Counter(frozenset(entities_of(t)[0]) for t in texts)
     for text in texts:
         n_term.update(set(re.findall(r"[^\W_]+", text.lower())))
         values, classes = entities_of(text)
@@ -136,11 +137,11 @@ def brute_terms(texts, generalise, remove):
         for t in words_beside(text) if values else ():
             for e in values | classes:
                 both[e, t] += 1
-                proofs.setdefault((e, t), set()).add(text if e in values else frozenset(values))
+                proofs[e, t] = proofs.get((e, t), 0) + (1 if e in values else 1 / alike[frozenset(values)])
     told = {}
     for (e, t), k in both.items():
         if n_entity[e] < n:
-            support, prior = len(proofs[e, t]), pii.PRIOR if ":" in e else pii.CLASS_PRIOR
+            support, prior = proofs[e, t], pii.PRIOR if ":" in e else pii.CLASS_PRIOR
             told[e, t] = math.log2(k * n / (n_term[t] * n_entity[e])) / math.log2(n / n_entity[e]) * support / (support + prior)
     out = {}
     for text in texts:
