@@ -30,6 +30,8 @@ def shared_dir(spark: SparkSession) -> str:
         current = sc._jsc.sc().getCheckpointDir()
         if current.isDefined():
             return current.get()
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="lexweave-")
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(named)
@@ -46,6 +48,12 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def drop_dir(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that is no longer read."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def text_chunks(texts: Iterable[str | None], most_chars: int) -> Iterator[tuple[int, list[str]]]:
     """(index of the first, texts) of runs that hold about most_chars; null counts as empty.
 
