@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexweave.llm import decontaminate, packing, pii, quality, simhash
-from lexweave.llm.common import fresh_dir, read
+from lexweave.llm.common import drop_dir, fresh_dir, read
 from lexweave.llm.queries import tokenizer_path
 
 
@@ -62,7 +62,12 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     folder = fresh_dir(spark, "pipeline")
+    last = None
     for i, (name, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}-{name}")
-        docs = spark.read.parquet(f"{folder}/{i}-{name}")
+        path = f"{folder}/{i}-{name}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if last is not None:  # nothing reads the stage before any more
+            drop_dir(spark, last)
+        last = path
     return docs
