@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from lexweave.functions import ids
 from lexweave.functions.text import cosine
 
-MERGE_COSINE = 0.80
+MERGE_COSINE, VECTOR_BLOCK = 0.80, 2_000
 
 
 def label_form(label: Column | str) -> Column:
@@ -55,34 +55,60 @@ def term_collisions(concepts: DataFrame, sites: DataFrame, vectors: DataFrame |
     v = vectors.select(label_form("text").alias("k"), "vector")
     have = rest.join(v.withColumnRenamed("k", "surface"), "surface")
     terms = surfaces.join(v.withColumnRenamed("k", "surface"), "surface").select("term", F.col("vector").alias("tv"))
-    best = have.crossJoin(F.broadcast(terms)).withColumn("cos", cosine("vector", "tv")).groupBy("id").agg(F.max("cos").alias("cos"), F.max_by("term", F.struct("cos", "term")).alias("term"))
+    best = in_blocks(have, terms, "id", "term").withColumn("cos", cosine("vector", "tv")).groupBy("id").agg(F.max("cos").alias("cos"), F.max_by("term", F.struct("cos", "term")).alias("term"))
     by_vector = best.where(F.col("cos") >= threshold).select("id", "term", F.lit("cosine").alias("reason"))
     return exact.unionByName(by_vector).unionByName(lexical.join(best, "id", "left_anti"))
 
 
+def in_blocks(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """Every row of a stated set against every row of another, a block of each at a time.
+
+    A block has about ``VECTOR_BLOCK`` rows; each pair of blocks is a key of its own, so that no task holds a whole side.
+    """
+    n, m = (max(1, -(-df.count() // VECTOR_BLOCK)) for df in (left, right))
+    x = left.withColumn("__i", F.pmod(F.xxhash64(left_key), F.lit(n))).withColumn("__j", F.explode(F.sequence(F.lit(0), F.lit(m - 1))))
+    y = right.withColumn("__j", F.pmod(F.xxhash64(right_key), F.lit(m))).withColumn("__i", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    return x.withColumn("__i", F.col("__i").cast("int")).join(y.withColumn("__j", F.col("__j").cast("int")), ["__i", "__j"]).drop("__i", "__j")
+
+
 def similar_pairs(concepts: DataFrame, vectors: DataFrame | None = None, threshold: float = MERGE_COSINE) -> DataFrame:
-    """(a, b) of similar concepts: partners share a word, or vectors of the threshold's cosine."""
+    """(a, b) of similar concepts: one's words are all among the other's, or vectors of the threshold's cosine.
+
+    A label whose words are all among another's has its rarest word there too, so that only that one is
+    looked for: frequent words bring no rows together.
+    """
     c = concepts.select("id", label_form("label").alias("l"))
     w = c.select("id", "l", F.explode(F.array_distinct(F.split("l", " "))).alias("w"))
-    a, b = (w.select(F.col("id").alias(n), F.col("l").alias(f"l{n}"), "w") for n in "ab")
-    pairs = a.join(b, "w").where("a < b").select("a", "b", "la", "lb").distinct().where(lexically_similar(F.col("la"), F.col("lb"))).select("a", "b")
+    often = w.groupBy("w").agg(F.count("*").alias("n"))
+    rare = w.join(often, "w").groupBy("id", "l").agg(F.min_by("w", F.struct("n", "w")).alias("w"))
+    small, big = rare.select(F.col("id").alias("a"), F.col("l").alias("la"), "w"), w.select(F.col("id").alias("b"), F.col("l").alias("lb"), "w")
+    met = small.join(big, "w").where("a <> b").where(lexically_similar(F.col("la"), F.col("lb")))
+    pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     if vectors is None:
         return pairs
     v = c.join(vectors.select(label_form("text").alias("l"), "vector"), "l").select("id", "vector")
     x, y = (v.select(F.col("id").alias(n), F.col("vector").alias(f"v{n}")) for n in "ab")
-    close = x.join(F.broadcast(y), F.col("a") < F.col("b")).where(cosine("va", "vb") >= threshold).select("a", "b")
+    close = in_blocks(x, y, "a", "b").where(F.col("a") < F.col("b")).where(cosine("va", "vb") >= threshold).select("a", "b")
     return pairs.unionByName(close).distinct()
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder: the one the cluster names, a temporary one only where none is set."""
+    """The checkpoint folder: the one the cluster names; only on one machine may a temporary one take its place."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir", None)
+    if named is None and sc._jsc.sc().getCheckpointDir().isEmpty() and not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="lexweave-"))
     return named or sc._jsc.sc().getCheckpointDir().get()
 
 
+def dropped(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that is no longer read."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def components(pairs: DataFrame) -> DataFrame:
     """(id, root) of all ids of the pairs: least label first, then roots of roots, until nothing changes."""
     shared_folder(pairs.sparkSession)

@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lexweave.functions import ids
-from lexweave.functions.text import cosine, estimated_tokens
+from lexweave.functions.text import estimated_tokens
+from lexweave.operators.concepts import shared_folder
 from lexweave.operators.tree import children, leaves, subtree_text
 
-BUDGET, BATCH = 512, 96
+BUDGET, BATCH, QUERIES = 512, 96, 20_000
 
 
 def plan(nodes: DataFrame, budget: int = BUDGET, window: bool = False) -> DataFrame:
@@ -73,12 +75,18 @@ def broken_records(recs: DataFrame, nodes: DataFrame) -> DataFrame:
 def nearest(queries: DataFrame, vectors: DataFrame, k: int, exclude_self: bool = True) -> DataFrame:
     """(query, id, score, rank): the k nearest rows by cosine of a stated set of queries, exactly.
 
-    queries (query, vector) is a bounded set that goes to the data; each task keeps the k
+    queries (query, vector) go to the data, at most about ``QUERIES`` at a time; each task keeps the k
     best of what it reads, so that the shuffle holds k rows a query and task.
     """
     import numpy as np
     import pandas as pd
 
+    n = -(-queries.count() // QUERIES)
+    if n > 1:  # block after block: what is on the driver and sent has a bound
+        shared_folder(queries.sparkSession)
+        blocks = [queries.where(F.pmod(F.xxhash64("query"), F.lit(n)) == i) for i in range(n)]
+        parts = [nearest(b, vectors, k, exclude_self).checkpoint() for b in blocks if b.limit(1).count()]
+        return reduce(DataFrame.unionByName, parts)
     q = queries.orderBy("query").toPandas()
     names = q["query"].to_numpy()
     matrix = np.array(q["vector"].tolist(), np.float64).reshape(len(q), -1)
@@ -109,6 +117,3 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int, exclude_self: bool =
     part = vectors.select("id", "vector").mapInPandas(run, f"query {kind}, id {kind}, score double")
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc(F.round("score", 9)), "id"))
     return part.withColumn("rank", rank).where(F.col("rank") <= k)
-
-
-__all__ = ["broken_records", "cache_split", "cosine", "embed_owed", "nearest", "plan", "records"]

@@ -189,7 +189,7 @@ def systematic(violations: DataFrame, tested: DataFrame, nodes: DataFrame) -> Da
 def with_ledger(violations: DataFrame, ledger: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Violations with their verified exception, and ledger entries that match nothing."""
     e = ledger.select("check", "path", "reason")
-    return violations.join(F.broadcast(e), ["check", "path"], "left"), e.join(violations.select("check", "path").distinct(), ["check", "path"], "left_anti")
+    return violations.join(e, ["check", "path"], "left"), e.join(violations.select("check", "path").distinct(), ["check", "path"], "left_anti")
 
 
 def mad_outliers(metrics: DataFrame, limit: float = MAD_LIMIT, least: int = MIN_GROUPS) -> DataFrame:
@@ -213,7 +213,8 @@ def page_map_diff(found: DataFrame, given: DataFrame) -> DataFrame:
     a, b = given.select(F.col("part_id").alias("given_id"), F.col("page_start").alias("gs"), F.col("page_end").alias("ge")), found.select(F.col("part_id").alias("found_id"), F.col("page_start").alias("fs"), F.col("page_end").alias("fe"))
     same = a.join(b, a["given_id"] == b["found_id"]).withColumn("how", F.lit("id"))
     rest, free = a.join(same.select("given_id"), "given_id", "left_anti"), b.join(same.select("found_id"), "found_id", "left_anti")
-    over = rest.join(F.broadcast(free), (F.col("gs") <= F.col("fe")) & (F.col("fs") <= F.col("ge")))
+    page = lambda df, s, e: df.select("*", F.explode(F.sequence(F.col(s), F.col(e))).alias("page"))
+    over = page(rest, "gs", "ge").join(page(free, "fs", "fe"), "page").drop("page").distinct()
     only = over.withColumn("n", F.count("*").over(Window.partitionBy("given_id"))).where("n = 1").drop("n").withColumn("how", F.lit("overlap"))
     hit = same.unionByName(only)
     return a.join(hit.drop("gs", "ge"), "given_id", "left").select("given_id", "found_id", F.coalesce("how", F.lit("missing")).alias("how"), (F.col("fs") - F.col("gs")).alias("start_delta"), (F.col("fe") - F.col("ge")).alias("end_delta"))

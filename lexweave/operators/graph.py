@@ -104,10 +104,13 @@ def deduplicated(edges: DataFrame) -> DataFrame:
     """One edge a merge key; later props overlay earlier ones; n says how many there were."""
     span = F.coalesce(F.element_at("props", "char_span"), F.lit(""))
     keyed = edges.withColumn("__k", F.when(F.col("type") == "USES_TERM", span).otherwise(F.lit("")))
-    all_props = F.transform(F.array_sort(F.collect_list(F.struct("nr", F.map_entries("props").alias("e")))), lambda x: x["e"])
     numbered = keyed if "nr" in edges.columns else keyed.withColumn("nr", F.lit(0))
-    merged = F.aggregate(F.flatten(all_props), F.create_map().cast("map<string,string>"), lambda m, e: F.map_concat(F.map_filter(m, lambda k, v: k != e["key"]), F.map_from_arrays(F.array(e["key"]), F.array(e["value"]))))
-    return numbered.groupBy("type", "src", "dst", "__k").agg(merged.alias("props"), F.count("*").alias("n")).drop("__k")
+    keys = ["type", "src", "dst", "__k"]
+    # the last value of each property, so that an edge with many copies is never gathered
+    last = numbered.select(*keys, "nr", F.explode("props").alias("p", "v")).groupBy(*keys, "p").agg(F.max_by("v", F.struct("nr", "v")).alias("v"))
+    props = last.groupBy(*keys).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("p", "v")))).alias("props"))
+    counted = numbered.groupBy(*keys).agg(F.count("*").alias("n"))
+    return counted.join(props, keys, "left").select("type", "src", "dst", F.coalesce("props", F.create_map().cast("map<string,string>")).alias("props"), "n")
 
 
 def dangling(edges: DataFrame, keys: DataFrame) -> DataFrame:

@@ -100,12 +100,17 @@ def resolve(nodes: DataFrame, pointers: DataFrame, registry: DataFrame | None =
     """
     labels, items, divisions = label_index(nodes), item_index(nodes), division_index(nodes)
     parts = nodes.where("kind = 'part'").select(F.col("path").alias("part"), F.col("part_family").alias("family_of_part"))
-    held = parts.agg(F.collect_set("part").alias("held"))  # parts are the files of a document: few, one row
+    known_parts = parts.select(F.col("part").alias("__k")).distinct()
+
+    def with_held(rows: DataFrame, path: Column, name: str) -> DataFrame:
+        """Whether a part of this path is held, by an equality join."""
+        return rows.withColumn("__k", path).join(known_parts.withColumn(name, F.lit(True)), "__k", "left").withColumn(name, F.coalesce(name, F.lit(False))).drop("__k")
+
     stems = F.create_map(*(F.lit(x) for pair in FAMILIES.items() for x in pair))
     stem = lambda c: stems[F.regexp_replace(F.regexp_replace(F.lower(c), r"[\s-]+", "-"), "^calloff$", "call-off")]
     place = lambda s, n: F.concat_ws("-", s, F.replace(n, F.lit("."), F.lit("-")))
     spaces = namespaces(nodes).select(F.col("path").alias("parent_path"), "ns")
-    p = pointers.join(spaces, "parent_path", "left").join(F.broadcast(parts), "part", "left").crossJoin(F.broadcast(held))
+    p = pointers.join(spaces, "parent_path", "left").join(parts, "part", "left")
     is_core = (F.col("part") == CORE) | (F.col("family_of_part") == "core_terms")
     is_schedule = F.coalesce(F.col("family_of_part").contains("schedule"), F.lit(False)) | F.col("part").contains("schedule")
     context = F.when(F.col("ctx_unit").startswith("schedule") & F.col("ctx_family").isNotNull() & F.col("ctx_number").isNotNull(), place(stem(F.col("ctx_family")), F.col("ctx_number"))).when(F.col("ctx_unit").startswith("schedule") & F.col("ctx_this") & is_schedule, F.col("part")).when(F.col("ctx_unit") == "core terms", F.lit(CORE))
@@ -119,46 +124,49 @@ def resolve(nodes: DataFrame, pointers: DataFrame, registry: DataFrame | None =
     name = F.concat_ws(" ", F.when(F.lower("unit").startswith("annex"), "annex").otherwise(F.regexp_replace(F.lower("unit"), "s$", "")), F.lower("number"))
     p = p.withColumn("division", name).join(own, (F.col("want") == F.col("__p")) & (F.col("want_ns") == F.col("__s")) & (F.col("division") == F.col("__d")), "left").join(whole, (F.col("want") == F.col("__q")) & (F.col("division") == F.col("__e")), "left")
     p = p.withColumn("div_path", F.coalesce("__own_div", "__any_div")).drop("__p", "__s", "__d", "__q", "__e", "__own_div", "__any_div")
-    p = p.withColumn("title_key", title_form("title_paren")).join(F.broadcast(title_matches(nodes, pointers)), "title_key", "left")
+    p = p.withColumn("title_key", title_form("title_paren")).join(title_matches(nodes, pointers), "title_key", "left")
     # the deepest existing dotted prefix of a number that is not there
     cut = F.split("number", r"\.")
     tries = p.select("want", "number").where("number is not null and want is not null").distinct().select("want", "number", F.posexplode(F.transform(F.sequence(F.lit(1), F.size(cut)), lambda i: F.array_join(F.slice(cut, F.lit(1), i), "."))).alias("k", "prefix")).where("prefix <> number")
     up = tries.join(labels.where("ns = '*'").select(F.col("part").alias("want"), F.col("label").alias("prefix"), F.col("path").alias("up_path")), ["want", "prefix"]).groupBy("want", "number").agg(F.max_by("up_path", "k").alias("up_path"))
     p = p.join(up, ["want", "number"], "left")
-    is_held = lambda c: F.array_contains("held", F.coalesce(c, F.lit("")))
+    named = F.when(F.col("family").isNotNull(), place(stem(F.col("family")), F.col("number")))
+    p = with_held(with_held(p, F.col("want"), "held_want"), named, "held_named")
+    for i, s in enumerate(FAMILIES.values()):
+        p = with_held(p, place(F.lit(s), F.col("number")), f"held_{i}")
     local = F.when((F.col("want") != F.col("part")) & ~is_core, F.col("here"))
     clause = (
         F.when(F.col("there").isNotNull() & local.isNotNull(), _outcome("ambiguous", CLAUSE_RULE, F.col("there"), _candidates(_candidate(F.col("there"), STIPULATED, "the stipulated reading"), _candidate(local, LOCAL, "the local provision of the same number"))))
         .when(F.col("there").isNotNull(), _outcome("resolved", CLAUSE_RULE, F.col("there"), None))
-        .when(~is_held(F.col("want")), _outcome("unresolved", CLAUSE_RULE, None, _candidates(_candidate(F.col("want"), CONVENTIONAL, "the part is not held"))))
+        .when(~F.col("held_want"), _outcome("unresolved", CLAUSE_RULE, None, _candidates(_candidate(F.col("want"), CONVENTIONAL, "the part is not held"))))
         .otherwise(_outcome("unresolved", CLAUSE_RULE, None, _candidates(_candidate(F.col("up_path"), ANCESTOR, "deepest numbered ancestor"), _candidate(local, LOCAL, "a provision of that number in the citing part"))))
     )
-    named = F.when(F.col("family").isNotNull(), place(stem(F.col("family")), F.col("number")))
     titled = F.when(F.col("title_paren").isNotNull(), "title_paren")
-    bare = [(place(F.lit(s), F.col("number")), F.when(is_held(place(F.lit(s), F.col("number"))), HELD).otherwise(CONVENTIONAL) + F.when(F.replace(F.col("family_of_part"), F.lit("_"), F.lit("-")) == s, FAMILY_HINT).otherwise(0.0)) for s in FAMILIES.values()]
+    bare = [(place(F.lit(s), F.col("number")), F.when(F.col(f"held_{i}"), HELD).otherwise(CONVENTIONAL) + F.when(F.replace(F.col("family_of_part"), F.lit("_"), F.lit("-")) == s, FAMILY_HINT).otherwise(0.0)) for i, s in enumerate(FAMILIES.values())]
     if registry is not None:
-        known = registry.select(F.col("part_id").alias("reg_part"), title_form("title").alias("reg_title"))
+        known = registry.select(F.col("part_id").alias("reg_part"), title_form("title").alias("reg_title"), F.element_at(F.split("part_id", "-"), -1).alias("number"))
         asked = p.where("title_key is not null").select("title_key", "number").distinct()
-        hits = asked.join(F.broadcast(known), F.col("reg_title").contains(F.col("title_key")) & F.col("reg_part").endswith(F.concat(F.lit("-"), F.col("number")))).groupBy("title_key", "number").agg(F.count("*").alias("n_reg"), F.min("reg_part").alias("reg_part")).where("n_reg = 1")
+        hits = asked.join(known, "number").where(F.col("reg_title").contains(F.col("title_key")) & (F.col("reg_part") != F.col("number"))).groupBy("title_key", "number").agg(F.count("*").alias("n_reg"), F.min("reg_part").alias("reg_part")).where("n_reg = 1")
         p = p.join(hits, ["title_key", "number"], "left")
     else:
         p = p.withColumn("reg_part", F.lit(None).cast("string"))
+    p = with_held(p, F.col("reg_part"), "held_reg")
     schedule = (
         F.when(F.col("title_part").isNotNull(), _outcome("resolved", "title_paren", F.col("title_part"), None))
-        .when(named.isNotNull() & is_held(named), _outcome("resolved", F.coalesce(titled, F.lit(CLAUSE_RULE)), named, None))
+        .when(named.isNotNull() & F.col("held_named"), _outcome("resolved", F.coalesce(titled, F.lit(CLAUSE_RULE)), named, None))
         .when(named.isNotNull(), _outcome("unresolved", F.coalesce(titled, F.lit(CLAUSE_RULE)), None, _candidates(_candidate(named, TITLED, "the family is named; the part is not held"))))
-        .when(F.col("reg_part").isNotNull() & ~is_held(F.col("reg_part")), _outcome("unresolved", "title_paren", None, _candidates(_candidate(F.col("reg_part"), REGISTERED, "the title is known; the part is not held"))))
+        .when(F.col("reg_part").isNotNull() & ~F.col("held_reg"), _outcome("unresolved", "title_paren", None, _candidates(_candidate(F.col("reg_part"), REGISTERED, "the title is known; the part is not held"))))
         .otherwise(_outcome("ambiguous", F.coalesce(titled, F.lit("none")), None, _candidates(*(_candidate(path, F.least(score, F.lit(1.0)), "a bare number: every family may use it") for path, score in bare))))
     )
     paragraph = (
         F.when(F.col("want").isNull(), _outcome("ambiguous", PARAGRAPH_RULE, None, _candidates(_candidate(F.col("here"), LOCAL, "a provision of that number in the citing part"))))
-        .when(~is_held(F.col("want")), _outcome("unresolved", PARAGRAPH_RULE, None, _candidates(_candidate(F.col("want"), CONVENTIONAL, "the schedule is not held"))))
+        .when(~F.col("held_want"), _outcome("unresolved", PARAGRAPH_RULE, None, _candidates(_candidate(F.col("want"), CONVENTIONAL, "the schedule is not held"))))
         .when(F.col("there").isNotNull(), _outcome("resolved", PARAGRAPH_RULE, F.col("there"), None))
         .otherwise(_outcome("unresolved", PARAGRAPH_RULE, None, _candidates(_candidate(F.col("up_path"), ANCESTOR, "deepest numbered ancestor"))))
     )
     inside = F.when(is_schedule, CLAUSE_RULE).otherwise("same_part")
     within = (
-        F.when(~is_held(F.col("want")), _outcome("unresolved", inside, None, _candidates(_candidate(F.col("want"), CONVENTIONAL, "the part is not held"))))
+        F.when(~F.col("held_want"), _outcome("unresolved", inside, None, _candidates(_candidate(F.col("want"), CONVENTIONAL, "the part is not held"))))
         .when(F.coalesce("div_path", "there").isNotNull(), _outcome("resolved", inside, F.coalesce("div_path", "there"), None))
         .otherwise(_outcome("unresolved", inside, None, None))
     )

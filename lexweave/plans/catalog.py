@@ -28,4 +28,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-from lexweave.plans import event_queries, evaluation_queries, graph_queries, more_queries, operator_queries, sample_queries, text_queries, tree_queries  # noqa: E402, F401  each registers its queries
+from lexweave.plans import event_queries, evaluation_queries, graph_queries, more_queries, operator_queries, sample_queries, source_queries, text_queries, tree_queries  # noqa: E402, F401  each registers its queries

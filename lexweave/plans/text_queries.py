@@ -54,8 +54,7 @@ UNION ALL SELECT p_partkey, CAST(length(string_split(p_name, ' ')[1]) + 1 AS INT
 def term_uses_longest(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     names = p.select(F.split_part("p_name", F.lit(" "), F.lit(1)).alias("s")).union(p.where("p_size <= 5").select("p_name")).distinct()
-    surfaces = [r["s"] for r in names.collect()]  # the vocabulary: distinct words and names
-    return vocabulary.longest_matches(p.select("p_partkey", F.col("p_name").alias("text")), surfaces, "p_partkey")
+    return vocabulary.longest_matches(p.select("p_partkey", F.col("p_name").alias("text")), names.select(F.col("s").alias("surface")), "p_partkey")
 
 
 @query("SELECT url, trim(regexp_replace(lower(url), '[^a-z0-9]+', '-', 'g'), '-') AS slug FROM pages")

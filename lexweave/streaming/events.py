@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexweave.operators.concepts import dropped
+
 LATE, GAP = "1 hour", "30 minutes"
 
 
@@ -31,14 +33,29 @@ def deduplicated(events: DataFrame, key: str = "event_id", late: str = LATE) ->
 
 
 def run_to_table(stream: DataFrame, name: str, checkpoint: str, mode: str = "complete") -> DataFrame:
-    """Runs a stream over what is there now and returns its table."""
-    q = stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    """Runs a stream over what is there now and returns its table, which lies in the shared folder.
+
+    In complete mode a batch holds the whole result and takes the place of the one before; else batches
+    add up. A batch that runs twice overwrites itself.
+    """
+    spark, path, done = stream.sparkSession, f"{checkpoint.rstrip('/')}-{name}", []
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/{number}")
+        if mode == "complete" and number:
+            dropped(spark, f"{path}/{number - 1}")
+        done.append(number)
+
+    q = stream.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
-    return stream.sparkSession.table(name)
+    return spark.read.parquet(f"{path}/{done[-1]}" if mode == "complete" else f"{path}/*") if done else spark.createDataFrame([], stream.schema)
 
 
 def last_records(stream: DataFrame, path: str, keys: list[str], order: str, checkpoint: str) -> None:
-    """Keeps the last record of each key as the newest snapshot under path, batch by batch; a batch that runs twice changes nothing."""
+    """Keeps the last record of each key as the newest snapshot under path, batch by batch.
+
+    A batch that runs twice changes nothing: the snapshot before it stays until the next one is written.
+    """
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
@@ -47,6 +64,8 @@ def last_records(stream: DataFrame, path: str, keys: list[str], order: str, chec
         columns = [c for c in rows.columns if c not in keys]
         last = rows.groupBy(*keys).agg(F.max_by(F.struct(*columns), F.struct(order, *columns)).alias("r")).select(*keys, "r.*")
         last.write.mode("overwrite").parquet(f"{path}/{number}")
+        if number > 1:
+            dropped(spark, f"{path}/{number - 2}")
 
     q = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
