@@ -43,10 +43,11 @@ def ask(owed: DataFrame, provider: Callable[[str, str], str], attempts: int = AT
 def complete(calls: DataFrame, cache: DataFrame, provider: Callable[[str, str], str] | None) -> tuple[DataFrame, DataFrame]:
     """All known replies, and the new rows for the cache; without a provider what is owed stays pending."""
     known, owed = replay_split(calls, cache)
+    once = owed.dropDuplicates(["key"])  # equal calls are one question
     if provider is None:
-        new = owed.select("key", F.lit(None).cast("string").alias("reply"), F.lit("pending").alias("error"))
+        new = once.select("key", F.lit(None).cast("string").alias("reply"), F.lit("pending").alias("error"))
     else:
-        new = ask(owed, provider)
+        new = ask(once, provider)
     done = owed.join(new.where("error is null").select("key", "reply"), "key")
     return known.unionByName(done), new
 
