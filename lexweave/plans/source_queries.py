@@ -162,7 +162,7 @@ def published_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("nodes", "id string, load string")
 
 
-@query("SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN NULL WHEN p_partkey % 2 = 0 THEN 'stored' ELSE upper(p_brand || p_partkey) END AS reply FROM part")
+@query("SELECT p_partkey, CASE WHEN p_partkey % 50 = 0 THEN NULL WHEN p_partkey % 2 = 0 THEN 'stored' ELSE upper(p_brand || p_partkey) END AS reply FROM part")
 def provider_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored replies are replayed, others asked for; a call that always fails stays without one."""
 
@@ -172,9 +172,9 @@ def provider_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
         return payload.upper()
 
     k = F.col("p_partkey")
-    payload = F.when(k % 5 == 0, _text("fail", k)).otherwise(F.concat("p_brand", k.cast("string")))
+    payload = F.when(k % 50 == 0, _text("fail", k)).otherwise(F.concat("p_brand", k.cast("string")))
     calls = table(spark, sf_dir, "part").select("p_partkey", F.lit("t").alias("task"), F.lit("1").alias("version"), payload.alias("payload"))
-    cache = calls.where("p_partkey % 2 = 0 and p_partkey % 5 > 0").select(tables.replay_key("task", "version", "payload").alias("key"), F.lit("stored").alias("reply"), _none().alias("error"))
+    cache = calls.where("p_partkey % 2 = 0 and p_partkey % 50 > 0").select(tables.replay_key("task", "version", "payload").alias("key"), F.lit("stored").alias("reply"), _none().alias("error"))
     done, _ = providers.complete(calls, cache, provider)
     return calls.select("p_partkey").join(done.select("p_partkey", "reply"), "p_partkey", "left")
 
