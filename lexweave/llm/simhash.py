@@ -22,8 +22,9 @@ XXH64 values (seed 42) of the text's three-word shingles. Documents link at
 Edge cases: a null or empty text, or one without words, has fingerprint zero and links
 as any other; under three words the whole sequence is the one shingle. Every row is a
 node, rows that repeat an id too. Rows without an id get the component of their
-fingerprint and never name one; if a component has no id at all, it is null. An empty
-table gives no rows. Other columns are not read.
+fingerprint and never name one; if a component has no id at all, it is null. Very long texts are
+hashed whole, in pieces. An empty table gives no rows. Other columns are not read, and ``one_of_each``
+returns them as they are, whatever their names.
 """
 
 from __future__ import annotations

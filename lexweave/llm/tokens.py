@@ -7,8 +7,8 @@ Only the rest is merged, a pre-token at a time, and kept in a bounded cache per
 
 Edge cases: a null or empty text has 0 bytes and 0 tokens. The text of an added
 token (such as an end-of-text marker) counts as that token wherever it stands, as
-the library does by default. Repeated rows give repeated rows; an empty table gives
-none. Other columns of the input are neither read nor kept, whatever their names.
+the library does by default. Repeated rows give repeated rows; very long texts are
+counted whole; an empty table gives none. Other columns of the input are neither read nor kept, whatever their names.
 """
 
 from __future__ import annotations

@@ -14,8 +14,8 @@ known by their offsets, are put together again.
 
 Edge cases: a null html is an empty payload; a null url is an empty one, and comes back
 so; line breaks in a url are escaped. Rows that tie on the largest id of a payload (repeated
-rows, or no id at all) are all responses. An empty table gives no files and no rows. The
-other columns are not read.
+rows, or no id at all) are all responses. A very long page is one record, whole. An empty table gives no files
+and no rows. The other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
