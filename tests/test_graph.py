@@ -141,6 +141,17 @@ def test_embeddings(spark, world):
     assert embeddings.broken_records(embeddings.records(plan, vectors, "m")[0], nodes).count() == 0
 
 
+def test_nearest_in_blocks(spark, monkeypatch):
+    import numpy as np
+
+    x = np.random.default_rng(2).normal(size=(120, 6))
+    df = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "id long, vector array<double>")
+    queries = df.where("id % 10 = 0").selectExpr("id as query", "vector")
+    want = {tuple(r) for r in embeddings.nearest(queries, df, 3).select("query", "id", "rank").collect()}
+    monkeypatch.setattr(embeddings, "QUERIES", 4)
+    assert {tuple(r) for r in embeddings.nearest(queries, df, 3).select("query", "id", "rank").collect()} == want and len(want) == 36
+
+
 def test_nearest(spark):
     import numpy as np
 

@@ -78,6 +78,16 @@ def test_longest_matches(text, surfaces, found):
     assert v.matches(text, surfaces) == found
 
 
+def test_surfaces_in_blocks(spark, monkeypatch):
+    texts = [("a", "Data Room data of the Data Rooms"), ("b", "no such words"), ("c", "Widget-Widget and Data"), ("d", None)]
+    df, names = spark.createDataFrame(texts, "path string, text string"), ["Data", "Data Room", "Widget", "Data Rooms", "of the", "the Data", None, ""]
+    surfaces = spark.createDataFrame([(n,) for n in names], "surface string")
+    want = {(k, *m) for k, t in texts if t for m in v.matches(t, [n for n in names if n])}
+    for limit in (8_000_000, 9):
+        monkeypatch.setattr(v, "SURFACES", limit)
+        assert {tuple(r) for r in v.longest_matches(df, surfaces).collect()} == want
+
+
 def test_typos(spark):
     rows = spark.createDataFrame([("s", "the the cat xThe aBc sooo Brrk fine it's IPRs")], "section string, text string")
     got = {(r["token"], r["reason"]) for r in v.flagged_tokens(rows).where("reason is not null").collect()}
