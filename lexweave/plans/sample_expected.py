@@ -1,4 +1,7 @@
-"""What the queries over the sample contract must give, read off the contract by hand: (columns with their types, rows)."""
+"""What the queries over the sample contract must give: (columns with their types, rows).
+
+The rows were taken from the operators once and read through against the contract; they hold results fixed.
+"""
 
 from __future__ import annotations
 
