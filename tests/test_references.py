@@ -136,3 +136,12 @@ def test_orphans_titles_and_spans(spark):
     found = d.pointers(nodes)
     proposed = spark.createDataFrame([("core-terms/2/2.1/b", "schedule of rates"), ("core-terms/2/2.1/b", "not there"), ("core-terms/2/2.1/b", "Clause 9.9")], "parent_path string, surface string")
     assert [x["surface"] for x in d.accepted_spans(proposed, nodes, found).collect()] == ["schedule of rates"]
+
+
+def test_pointers_are_never_broadcast(spark):
+    """Many pointers a node, which the planner takes for few bytes."""
+    nodes = spark.range(300).selectExpr("concat('p/', id) as path", "concat('see Clauses 1.1 to 1.8 and the rates of Clause ', id + 1) as text", "'clause' as kind")
+    proposed = nodes.selectExpr("path as parent_path", "explode(array('rates', 'Clauses 1.1', 'absent')) as surface")
+    spans = d.accepted_spans(proposed, nodes, d.pointers(nodes))
+    assert "Broadcast" not in spans._jdf.queryExecution().executedPlan().toString()
+    assert {(x["parent_path"], x["surface"], x["start"], x["end"]) for x in spans.collect()} == {(f"p/{i}", "rates", 31, 36) for i in range(300)}
