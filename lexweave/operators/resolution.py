@@ -6,6 +6,8 @@ outcomes carry no confidence. An index keeps the first of a key in document orde
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -22,6 +24,7 @@ FAMILIES = {"framework": "framework-schedule", "joint": "joint-schedule", "call-
 SUB_PART, DIVISION = r"^\s*Part\s+[A-Z0-9]+\b", r"(?i)\b(Annex|Appendix|Part|Table)\s+([A-Z0-9]+)\b"
 CANDIDATES = "array<struct<path:string,score:double,reason:string>>"
 TOP = 5
+ROUNDING = 0.00006  # by which similarities of four places may be rounded up
 
 
 def _first(rows: DataFrame, *keys: str) -> DataFrame:
@@ -247,14 +250,27 @@ def status_counts(refs: DataFrame) -> DataFrame:
 
 
 def near_miss_keys(keys: DataFrame, threshold: float = 0.86) -> DataFrame:
-    """Pairs of statute keys whose similarity reaches the threshold; lengths that rule it out are never compared."""
+    """Pairs of statute keys whose similarity, rounded to four places, reaches the threshold.
+
+    Where both lengths together allow one character of difference, the shorter key is the longer one with a character
+    left out, and they meet on that by equality. Longer pairs meet by length classes and a bounded edit distance, which is
+    at most the characters that differ; these are as many as the pairs of keys of like length.
+    """
     from lexweave.functions.fuzzy import similarity
 
-    least = threshold / (2 - threshold)  # of the shorter to the longer length, at this ratio
+    apart = 1 - threshold + ROUNDING  # the share of both lengths that may differ
+    least = (1 - apart) / (1 + apart)  # of the shorter to the longer length, at this ratio
+    two = 2 / apart  # both lengths from which two characters may differ
     one = keys.select(F.col("key").alias("a"), F.length("key").alias("la")).distinct()
+    without = F.transform(F.sequence(F.lit(1), F.col("la")), lambda i: F.concat(F.left("a", i - 1), F.substr("a", i + 1)))
+    cuts = one.where((F.col("la") > 0) & (2 * F.col("la") - 1 < two)).select(F.col("a").alias("longer"), F.explode(F.array_distinct(without)).alias("a"))
+    near = one.select("a").join(cuts.hint("merge"), "a").select(F.least("a", "longer").alias("a"), F.greatest("a", "longer").alias("b"))
     # lengths fall in classes whose width is the ratio, so that partners are in the same or the next class
-    size = lambda c: F.floor(F.log(F.col(c).cast("double")) / F.lit(-__import__("math").log(least)))
-    left = one.withColumn("k", size("la")).withColumn("c", F.explode(F.array(F.col("k"), F.col("k") + 1, F.col("k") - 1)))
-    right = one.select(F.col("a").alias("b"), F.col("la").alias("lb"), size("la").alias("c"))
-    close = left.join(right, "c").where((F.col("a") < F.col("b")) & (F.least("la", "lb") >= F.greatest("la", "lb") * least))
-    return close.withColumn("similarity", F.round(similarity("a", "b") / 100, 4)).where(F.col("similarity") >= threshold).select("a", "b", "similarity")
+    size = lambda c: F.floor(F.log(F.col(c).cast("double")) / F.lit(-math.log(least)))
+    long = one.where(F.col("la") * (1 + 1 / least) >= two)
+    left = long.withColumn("k", size("la")).withColumn("c", F.explode(F.array(F.col("k"), F.col("k") + 1, F.col("k") - 1)))
+    right = long.select(F.col("a").alias("b"), F.col("la").alias("lb"), size("la").alias("c"))
+    both = F.col("la") + F.col("lb")
+    close = left.join(right, "c").where((F.col("a") < F.col("b")) & (both >= two) & (F.least("la", "lb") >= F.greatest("la", "lb") * least)).where(F.expr(f"levenshtein(a, b, int(floor((la + lb) * {apart!r}D))) >= 0"))
+    pairs = near.unionByName(close.select("a", "b"))
+    return pairs.withColumn("similarity", F.round(similarity("a", "b") / 100, 4)).where(F.col("similarity") >= threshold).select("a", "b", "similarity")

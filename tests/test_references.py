@@ -1,7 +1,12 @@
 """Detection and resolution of references over the sample contract."""
 
+import math
+import random
+import time
+
 import pytest
 
+from lexweave.functions.fuzzy import ratio
 from lexweave.operators import detection as d
 from lexweave.operators import resolution as r
 from lexweave.sources import samples
@@ -145,3 +150,22 @@ def test_pointers_are_never_broadcast(spark):
     spans = d.accepted_spans(proposed, nodes, d.pointers(nodes))
     assert "Broadcast" not in spans._jdf.queryExecution().executedPlan().toString()
     assert {(x["parent_path"], x["surface"], x["start"], x["end"]) for x in spans.collect()} == {(f"p/{i}", "rates", 31, 36) for i in range(300)}
+
+
+@pytest.mark.parametrize("threshold", [0.7, 0.86, 0.95, 0.98, 1.0])
+def test_near_misses_against_all_pairs(spark, threshold):
+    rng = random.Random(4)
+    names = {"".join(rng.choices("abé-1", k=rng.randrange(1, 9))) for _ in range(60)} | {"legislation/" + "ab" * n + rng.choice("xyz") + "c" * rng.randrange(4) for n in range(0, 60, 3) for _ in range(4)}
+    names |= {w[: len(w) // 2] + w[len(w) // 2 + 1 :] for w in names if len(w) > 20}
+    want = {(a, b, s) for a in names for b in names if a < b and (s := math.floor(ratio(a, b) * 100 + 0.5) / 10_000) >= threshold}  # halves go up
+    keys = spark.createDataFrame([(w,) for w in [*names, *names, None, ""]], "key string")
+    assert {tuple(x) for x in r.near_miss_keys(keys, threshold).collect()} == want
+
+
+def test_near_misses_of_many_like_keys(spark):
+    """20,000 keys of two lengths: 200 million pairs, of which few are close."""
+    keys = spark.range(10_000).selectExpr("explode(array(concat('legislation/supplier#', lpad(id, 9, '0'), '-act'), concat('legislation/supplier#', lpad(id, 9, '0'), '-acts'))) as key")
+    begun = time.perf_counter()
+    got = {(x["a"], x["b"]) for x in r.near_miss_keys(keys, 0.98).collect()}
+    assert got == {(f"legislation/supplier#{i:09}-act", f"legislation/supplier#{i:09}-acts") for i in range(10_000)}
+    assert time.perf_counter() - begun < 60
