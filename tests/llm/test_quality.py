@@ -147,3 +147,42 @@ def test_odd_tables(spark):
     assert quality.assess(docs.limit(0), judge).count() == 0
     one = spark.createDataFrame([(2, 1, 0), (2, None, 0), (None, 0, 0)], "doc_id long, quality int, toxic int")
     assert quality.fit(docs, one).forest is None
+
+
+def test_every_row_is_learned_from(spark):
+    """Medians, thresholds and the rows of the trees from all of 9,000 documents, recomputed on the driver."""
+    rng = random.Random(5)
+    words = lambda i: [("#" * rng.randrange(1, 4) if i % 3 == 0 else "") + f"w{rng.randrange(10 ** rng.randrange(2, 6))}" for _ in range(rng.randrange(8, 40))]
+    texts = {i: " ".join(words(i)) + ("." * (i % 5)) for i in range(9_000)}
+    # the only bad rows among the greatest hashes, where a sample of the least never looks
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    h = {r["doc_id"]: r["h"] for r in docs.selectExpr("doc_id", "xxhash64(doc_id) as h").collect()}
+    late = set(sorted(texts, key=h.get)[-40:])
+    texts |= {i: " ".join(f"{k}|<>%{i}" for k in range(20)) for i in late}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(7)
+    ids = sorted(texts)
+    labels = spark.createDataFrame([(i, int(i not in late), 0) for i in ids], "doc_id long, quality int, toxic int")
+    judge = quality.fit(docs, labels)
+    stats = np.array([quality.statistics(texts[i]) for i in ids])
+    passed = ~quality.base_failed(stats)
+    x, bad = quality.features(stats[passed]), np.array([i in late for i in ids])[passed]
+    forest = quality.Forest.fit(x)
+    assert all(np.array_equal(getattr(judge.forest, c), getattr(forest, c)) for c in ("feature", "value", "path", "bits"))
+    score, why = forest.score(x)
+    assert judge.usual == pytest.approx(np.median(why, axis=0), abs=2**-14)
+    main = (why - judge.usual).argmax(1)
+    for j, cut in enumerate(judge.thresholds):
+        good, odd = np.sort(score[(main == j) & ~bad]), np.sort(score[(main == j) & bad])
+        cost = lambda t, good=good, odd=odd: 10 * (good > t).sum() / (~bad).sum() + (odd <= t).sum() / bad.sum()
+        assert cost(cut) <= min([cost(t) for t in np.unique(np.concatenate([good, odd]))], default=0) + 1e-9
+    assert bad.sum() > 0 and np.isfinite(judge.thresholds).any()
+
+
+def test_counted_medians_and_thresholds():
+    rng = np.random.default_rng(6)
+    for size in (1, 2, 3, 50, 51):
+        rows = rng.integers(0, 9, size)
+        assert quality.median(*np.unique(rows, return_counts=True)) == np.median(rows)
+        good, bad = rng.integers(0, 9, size) / 8, rng.integers(3, 12, size + 1) / 8
+        (a, n), (b, m) = (np.unique(v, return_counts=True) for v in (good, bad))
+        assert quality.calibrate(good, bad) == quality.calibrate(a, b, times=(n, m))
